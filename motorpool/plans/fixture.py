@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from motorpool.dictionaries import values_clause
+from motorpool.dictionaries import NA_TOKENS, values_clause
 
 TABLES = ("orders", "customer", "nation", "part", "lineitem", "documents")
 
@@ -119,6 +119,50 @@ FROM ({RAW_SQL}) r JOIN orders o ON r.id_raw = o.o_orderkey
 """
 
 
+# Period texts of every order: well formed, month out of range, dashed, blank-edged, too long.
+PERIOD_TEXT_SQL = """
+SELECT o.o_orderkey AS id_raw,
+       CASE o.o_orderkey % 6 WHEN 0 THEN CAST(year(o.o_orderdate) * 100 + month(o.o_orderdate) AS STRING)
+            WHEN 1 THEN CAST(year(o.o_orderdate) * 100 + 13 AS STRING)
+            WHEN 2 THEN CAST(year(o.o_orderdate) * 100 AS STRING)
+            WHEN 3 THEN CAST(year(o.o_orderdate) AS STRING) || '-' || CAST(month(o.o_orderdate) AS STRING)
+            WHEN 4 THEN ' ' || CAST(year(o.o_orderdate) * 100 + month(o.o_orderdate) AS STRING) || ' '
+            ELSE CAST(year(o.o_orderdate) * 1000 + month(o.o_orderdate) AS STRING) END AS period_text
+FROM orders o
+"""
+
+# Cells with blank, tab and no-break-space edges, blank only, and missing.
+DIRTY_CELL_SQL = """
+SELECT o.o_orderkey AS id_raw,
+       CASE o.o_orderkey % 7 WHEN 0 THEN o.o_orderpriority WHEN 1 THEN '  ' || o.o_orderpriority
+            WHEN 2 THEN chr(9) || o.o_orderpriority || chr(10) WHEN 3 THEN o.o_orderpriority || chr(160)
+            WHEN 4 THEN chr(9) || ' ' || chr(160) WHEN 5 THEN '' ELSE NULL END AS cell
+FROM orders o
+"""
+
+
+def _texts_by_order(texts) -> str:
+    """Every order with one of the texts, followed by the order's own status where the text is NULL."""
+    return f"""
+SELECT o.o_orderkey AS id_raw, CASE WHEN t.v IS NULL THEN CAST(o.o_custkey AS STRING) ELSE t.v END AS cell
+FROM orders o
+JOIN {_numbered(texts, 't(k, v)')} ON o.o_orderkey % {len(texts)} = t.k
+"""
+
+
+NUMBER_TEXT_SQL = _texts_by_order((
+    "12.7", "-3.9", "+5", " 12 ", "1e3", "1.234", "1,234", "1_000", "0x10", "True", "1d", "1f", "", "1e400",
+    "inf", "Infinity", "nan", ".5", "5.", "1e", "--1", None, "1.5E+2", "2010.0", "-0.4",
+))
+TOKEN_SQL = _texts_by_order((*NA_TOKENS, " NA", "Null", "NONE", "0", None))
+ACCENTED_SQL = """
+SELECT o.o_orderkey AS id_raw, 'VEÍCULO AÇÃO ' || n.n_name || ' Nº ' || CAST(o.o_custkey AS STRING) AS descricao
+FROM orders o
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+"""
+
+
 def run_sql(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     """Run fixture SQL with the driver tables bound by name, without touching the session's views."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if f" {t} " in f" {text} "}
