@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from motorpool.session import settle
+from motorpool.session import settle, settle_counted
 
 HASH_BUCKETS = 4096
 
@@ -34,8 +34,10 @@ def dense_ids(rows: DataFrame, key: str, name: str, start: int = 0, buckets: int
     return numbered.withColumn(name, number.cast("bigint")).drop("_bucket", "_position", "start")
 
 
-def number_records(scan: DataFrame) -> DataFrame:
-    """Add file-order numbers to a file scan: `file_row` and `record` (all files by path), both from 0.
+def number_records(scan: DataFrame) -> tuple[DataFrame, int]:
+    """Add file-order numbers to a file scan, and count its records.
+
+    `file_row` counts within a file, `record` across all files by path, both from 0.
 
     The scan is settled first, so split boundaries and numbers come from one and the same read. A
     split then needs only its own first row id and the number of records in front of it.
@@ -47,7 +49,7 @@ def number_records(scan: DataFrame) -> DataFrame:
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_row"),
     )
-    stored = settle(tagged, "records")
+    stored, total = settle_counted(tagged, "records")
     splits = stored.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first")
     )
@@ -59,9 +61,10 @@ def number_records(scan: DataFrame) -> DataFrame:
     starts = settle(starts.select("_file", "_block", "_first", "start", "file_start"), "splits")
     numbered = stored.join(starts, ["_file", "_block"])
     offset = F.col("_row") - F.col("_first")
-    return numbered.select(
+    result = numbered.select(
         *scan.columns,
         F.col("_name").alias("source_file"),
         (F.col("file_start") + offset).alias("file_row"),
         (F.col("start") + offset).alias("record"),
     )
+    return result, total

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from motorpool.operators.keys import dense_ids
-from motorpool.session import settle
+from motorpool.session import settle, settle_counted
 
 
 def assert_unique(rows: DataFrame, keys: Sequence[str]) -> None:
@@ -61,21 +61,20 @@ def upsert_with_ids(
     key: str,
     attributes: Sequence[str],
     id_column: str,
+    highest: int,
     *,
     touch: Mapping[str, Column] | None = None,
     on_insert: Mapping[str, Column] | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """Merge that keeps existing surrogate keys and numbers new rows after the highest one.
+) -> tuple[DataFrame, int]:
+    """Merge that keeps existing surrogate keys and numbers new rows after `highest`.
 
-    Returns the merged table and the settled new (key, id) pairs. Only the new keys are numbered.
+    Returns the merged table and the number of new rows. Only the new keys are numbered, and their
+    numbers are settled before anything is written, so a task that runs again cannot change them.
     """
-    known = target.select(key)
-    fresh = settle(source.select(key).join(known, key, "left_anti"), "fresh")
-    highest = target.agg(F.max(id_column)).first()[0] or 0
+    fresh, inserted = settle_counted(source.select(key).join(target.select(key), key, "left_anti"), "fresh")
     numbered = settle(dense_ids(fresh, key, id_column, highest), "ids")
     carrying = source.join(numbered, key, "left")
-    merged = upsert(target, carrying, [key], attributes, touch=touch, on_insert=on_insert)
-    return merged, numbered
+    return upsert(target, carrying, [key], attributes, touch=touch, on_insert=on_insert), inserted
 
 
 def changes(old: DataFrame, new: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from motorpool.operators.normalize import normalize, stored_form
 from motorpool.operators.upsert import upsert_with_ids
 from motorpool.operators.vehicles import fleet_fact, vehicle_dim
 from motorpool.schemas import DIM, DIM_ATTRIBUTES, FACT, NORM, RAW
-from motorpool.session import build_session, settle
+from motorpool.session import build_session, settle_counted
 from motorpool.sources.delimited import load_period, resolve_period
 from motorpool.sources.publish import Publication
 from motorpool.sources.warehouse import Warehouse, now_literal
@@ -44,9 +44,11 @@ def phase_range(start: str = "raw", stop: str = "analytics") -> tuple[str, ...]:
     return PHASES[first : last + 1]
 
 
-def load_raw(warehouse: Warehouse, records: DataFrame, period: int) -> int:
+def load_raw(warehouse: Warehouse, records: DataFrame, total: int, period: int) -> int:
     """Replace the period in the raw layer; ids continue after the highest one, in file order."""
-    base = warehouse.highest(RAW, "id_raw")
+    base = warehouse.highest_id(RAW, "id_raw")
+    # Numbers count as given out before they are stored: a failed write may leave a gap, never a repeat.
+    warehouse.record_highest_id(RAW, "id_raw", base + total)
     rows = records.withColumns({
         "report_period": F.lit(period),
         "id_raw": F.col("record") + F.lit(base + 1),
@@ -70,14 +72,16 @@ def load_core(warehouse: Warehouse, period: int, touch_updated_at: bool = False)
     norm = warehouse.read(NORM, period)
     now = now_literal()
     # Settled once: the merge reads it twice, and the written ids must match what was merged.
-    vehicles = settle(vehicle_dim(norm), "vehicles")
-    merged, fresh = upsert_with_ids(
-        warehouse.read(DIM), vehicles, "hash_veiculo", DIM_ATTRIBUTES, "id_veiculo",
-        touch={"updated_at": now} if touch_updated_at else None,
-        on_insert={"created_at": now, "updated_at": now},
-    )
-    incoming, inserted = vehicles.count(), fresh.count()
+    vehicles, incoming = settle_counted(vehicle_dim(norm), "vehicles")
+    inserted = 0
     if incoming:
+        last = warehouse.highest_id(DIM, "id_veiculo")
+        merged, inserted = upsert_with_ids(
+            warehouse.read(DIM), vehicles, "hash_veiculo", DIM_ATTRIBUTES, "id_veiculo", last,
+            touch={"updated_at": now} if touch_updated_at else None,
+            on_insert={"created_at": now, "updated_at": now},
+        )
+        warehouse.record_highest_id(DIM, "id_veiculo", last + inserted)
         warehouse.replace_dim(merged)
     # The highest id of a cell belongs to no other cell, so it serves as the fact's own key too.
     fact = fleet_fact(norm, warehouse.read(DIM)).withColumns(
@@ -108,8 +112,8 @@ def run(
     warehouse.ensure()
     outcome = Outcome(report_period)
     if "raw" in phases:
-        records = load_period(spark, folder, multi_file=multi_file, encoding=encoding)
-        outcome.counts["raw"] = load_raw(warehouse, records, report_period)
+        records, total = load_period(spark, folder, multi_file=multi_file, encoding=encoding)
+        outcome.counts["raw"] = load_raw(warehouse, records, total, report_period)
     if "normalize" in phases:
         names = alias_table(spark) if aliases is None else aliases
         outcome.counts["norm"] = load_norm(warehouse, report_period, brands, names)

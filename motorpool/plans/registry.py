@@ -118,7 +118,7 @@ def file_order_ordinal(spark, sf):
     orders = spark.read.parquet(f"{sf}/orders.parquet").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     folder = scratch_path(spark, "ordered")
     write_delimited(orders.repartitionByRange("o_orderkey").sortWithinPartitions("o_orderkey"), folder)
-    records = read_records(read_delimited(spark, list_inputs(spark, folder)))
+    records, _ = read_records(read_delimited(spark, list_inputs(spark, folder)))
     key = F.col("o_orderkey").cast("bigint")
     return records.select(key.alias("o_orderkey"), "o_orderpriority", F.col("record").cast("bigint").alias("record"))
 
@@ -128,7 +128,7 @@ def latin1_scan(spark, sf):
     rows = _sql(fixture.ACCENTED_SQL)(spark, sf)
     folder = scratch_path(spark, "latin1")
     rows.write.option("sep", ";").option("header", True).option("encoding", "ISO-8859-1").csv(folder)
-    records = read_records(read_delimited(spark, list_inputs(spark, folder)))
+    records, _ = read_records(read_delimited(spark, list_inputs(spark, folder)))
     return records.select(F.col("id_raw").cast("bigint").alias("id_raw"), "descricao")
 
 
@@ -137,7 +137,7 @@ def delimited_round_trip(spark, sf):
     columns = ("id_raw", "uf", "marca_modelo", "qtd_veiculos")
     folder = scratch_path(spark, "round-trip")
     write_delimited(stored_raw(spark, sf).select(*columns), folder)
-    records = read_records(read_delimited(spark, list_inputs(spark, folder)))
+    records, _ = read_records(read_delimited(spark, list_inputs(spark, folder)))
     return records.select(F.col("id_raw").cast("bigint").alias("id_raw"), *columns[1:])
 
 

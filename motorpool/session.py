@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_scratch: str | None = None
 
@@ -56,7 +57,13 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     (and see the same rows), and the planner knows the real size, so it picks a broadcast only below
     `spark.sql.autoBroadcastJoinThreshold` and a shuffle join otherwise.
     """
+    return settle_counted(df, label)[0]
+
+
+def settle_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """`settle`, plus the number of rows as counted by the write itself."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    seen = Observation(label)
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), seen.get["n"] or 0

@@ -116,13 +116,11 @@ def _plain_scan(scan: DataFrame) -> tuple[DataFrame, list[str]]:
     return scan.select(*cells), slugs
 
 
-def read_records(scan: DataFrame) -> DataFrame:
-    """Clean cells with file-order numbers: slug columns, source_file, file_row, record."""
+def read_records(scan: DataFrame) -> tuple[DataFrame, int]:
+    """Clean cells with file-order numbers (slug columns, source_file, file_row, record), and a count."""
     plain, slugs = _plain_scan(scan)
-    # The file metadata columns belong to the scan, so the numbering sees scan and cells together.
-    numbered = number_records(plain)
-    cleaned = {c: clean_cell(F.col(c)) for c in slugs}
-    return numbered.withColumns(cleaned)
+    numbered, total = number_records(plain)
+    return numbered.withColumns({c: clean_cell(F.col(c)) for c in slugs}), total
 
 
 def load_period(
@@ -132,8 +130,8 @@ def load_period(
     multi_file: bool = False,
     separator: str = SEPARATOR,
     encoding: str | None = None,
-) -> DataFrame:
-    """The period's input columns, source_file, csv_row (header is row 1) and record number.
+) -> tuple[DataFrame, int]:
+    """The period's input columns, source_file, csv_row (header is row 1), record number; their count.
 
     Several files are only read together when `multi_file` says so.
     """
@@ -144,14 +142,14 @@ def load_period(
         raise ValueError(f"{len(paths)} files in {folder}; pass multi_file=True to load them together")
     scan = read_delimited(spark, paths, separator, encoding)
     validate_headers([c for c in scan.columns if c != OVERFLOW])
-    if scan.limit(1).isEmpty():
+    records, total = read_records(scan)
+    if total == 0:
         raise ValueError(f"no records in {folder}")
-    records = read_records(scan)
     extra = set(records.columns) - {*INPUT_COLUMNS, "source_file", "file_row", "record"}
     if extra:
         raise ValueError(f"columns without a place in the raw layer: {sorted(extra)}")
     row = (F.col("file_row") + 2).alias("csv_row")
-    return records.select(*INPUT_COLUMNS, "source_file", row, "record")
+    return records.select(*INPUT_COLUMNS, "source_file", row, "record"), total
 
 
 def write_delimited(rows: DataFrame, path: str, separator: str = SEPARATOR) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from motorpool.schemas import DIM, FACT, PUBLISHED_DIM, PUBLISHED_FACT, Contract, conform
 from motorpool.sources import files
-from motorpool.sources.warehouse import Warehouse
+from motorpool.sources.warehouse import Warehouse, add_partitions
 
 
 class Publication:
@@ -90,5 +90,4 @@ class Publication:
                     f"CREATE TABLE {name} ({columns}) USING parquet{parts} "
                     f"LOCATION '{self._location(contract, manifest[which])}'"
                 )
-                if contract.partition:
-                    self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+                add_partitions(self.spark, name, contract, self._location(contract, manifest[which]))

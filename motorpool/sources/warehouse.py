@@ -20,6 +20,17 @@ def now_literal(moment: dt.datetime | None = None):
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def add_partitions(spark: SparkSession, name: str, contract: Contract, location: str) -> None:
+    """Tell the catalog about the period folders of a table."""
+    if contract.partition is None:
+        return
+    mark = f"{contract.partition}="
+    found = [e.name[len(mark):] for e in files.listing(spark, location) if e.name.startswith(mark)]
+    if found:
+        parts = " ".join(f"PARTITION ({contract.partition}={int(v)})" for v in sorted(found))
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+
+
 class Warehouse:
     """Reads and replaces the raw, norm, dimension and fact tables.
 
@@ -60,22 +71,24 @@ class Warehouse:
             files.make_dirs(self.spark, location)
             schema = f"{self.prefix}{contract.schema}"
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{self.root}/{contract.schema}'")
+            name = self.sql_name(contract)
+            if self.spark.catalog.tableExists(name):
+                continue
             columns = ", ".join(f.ddl for f in contract.fields)
             parts = f" PARTITIONED BY ({contract.partition})" if contract.partition else ""
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.sql_name(contract)} ({columns}) "
-                f"USING parquet{parts} LOCATION '{location}'"
-            )
-            self._refresh(contract)
+            self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{parts} LOCATION '{location}'")
+            add_partitions(self.spark, name, contract, location)
 
     def _refresh(self, contract: Contract) -> None:
+        """Let SQL see what was just written, if the table is in the catalog."""
         name = self.sql_name(contract)
         if not self.spark.catalog.tableExists(name):
             return
+        location = self.location(contract)
         if contract.partition:
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            add_partitions(self.spark, name, contract, location)
         else:
-            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{self.location(contract)}'")
+            self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(name)
 
     # Reads
@@ -93,8 +106,14 @@ class Warehouse:
         columns = ("report_period", "id_raw", "uf", "marca_modelo", "ano_fabricacao_veiculo_crv", "qtd_veiculos")
         return self.read(RAW, period).select(*columns)
 
-    def highest(self, contract: Contract, column: str) -> int:
-        return self.read(contract).agg(F.max(column)).first()[0] or 0
+    def highest_id(self, contract: Contract, column: str) -> int:
+        """The last number given out. Kept beside the table, so no load scans the periods before it,
+        and never lowered: numbers of replaced rows are not used again."""
+        kept = files.read_json(self.spark, f"{self.folder(contract)}/_last_{column}.json")
+        return kept["value"] if kept else 0
+
+    def record_highest_id(self, contract: Contract, column: str, value: int) -> None:
+        files.replace_json(self.spark, f"{self.folder(contract)}/_last_{column}.json", {"value": value})
 
     # Writes
 
@@ -120,9 +139,10 @@ class Warehouse:
         return result["rows"] or 0
 
     def _clear(self, contract: Contract, period: int) -> None:
-        """Overwrite one partition with nothing, keeping its folder."""
-        empty = self.spark.createDataFrame([], contract.struct).drop(contract.partition)
-        empty.write.mode("overwrite").parquet(f"{self.folder(contract)}/{contract.partition}={period}")
+        """Empty one partition, keeping its folder."""
+        folder = f"{self.folder(contract)}/{contract.partition}={period}"
+        files.drop(self.spark, folder)
+        files.make_dirs(self.spark, folder)
 
     def clear_periods(self, contracts: Sequence[Contract], periods: Sequence[int]) -> None:
         for contract in contracts:
