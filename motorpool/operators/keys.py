@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from motorpool.session import settle, settle_counted
 
-HASH_BUCKETS = 4096
+ROWS_PER_BUCKET = 250_000
+MAX_BUCKETS = 65_536
+
+
+def bucket_count(rows: int) -> int:
+    """Buckets for `rows` keys: even tasks, and never more buckets than one task can add up."""
+    return max(8, min(MAX_BUCKETS, rows // ROWS_PER_BUCKET))
 
 
 def _running_start(counts: DataFrame, order: list[str], total: str) -> DataFrame:
@@ -16,39 +22,45 @@ def _running_start(counts: DataFrame, order: list[str], total: str) -> DataFrame
     return counts.withColumn("start", F.coalesce(F.sum(total).over(before), F.lit(0)))
 
 
-def dense_ids(rows: DataFrame, key: str, name: str, start: int = 0, buckets: int = HASH_BUCKETS) -> DataFrame:
+def dense_ids(rows: DataFrame, key: str, name: str, start: int = 0, buckets: int = 4096) -> DataFrame:
     """Add `name`: start+1, start+2, ... over rows whose `key` is unique and whose content is settled.
 
     Rows are numbered inside hash buckets of the key, and each bucket starts after the sizes of the
     ones before it. The keys are unique, so buckets are even whatever the data looks like, and the
     numbers depend on the keys alone: a task that runs again gives the same ones.
     """
+    if buckets > MAX_BUCKETS:
+        raise ValueError(f"at most {MAX_BUCKETS} buckets")
     bucket: Column = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
     tagged = rows.withColumn("_bucket", bucket)
     sizes = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size"))
     starts = _running_start(sizes, ["_bucket"], "_size").select("_bucket", "start")
     position = F.row_number().over(Window.partitionBy("_bucket").orderBy(key))
-    # At most `buckets` rows, so the broadcast is bounded by construction.
+    # At most MAX_BUCKETS rows of two numbers, so the broadcast is bounded by construction.
     numbered = tagged.withColumn("_position", position).join(F.broadcast(starts), "_bucket")
     number = F.col("_position") + F.col("start") + F.lit(start)
     return numbered.withColumn(name, number.cast("bigint")).drop("_bucket", "_position", "start")
 
 
-def number_records(scan: DataFrame) -> tuple[DataFrame, int]:
-    """Add file-order numbers to a file scan, and count its records.
+def number_records(*scans: DataFrame) -> tuple[DataFrame, int]:
+    """Add file-order numbers to file scans of the same columns, and count their records.
 
     `file_row` counts within a file, `record` across all files by path, both from 0.
 
-    The scan is settled first, so split boundaries and numbers come from one and the same read. A
+    The scans are settled first, so split boundaries and numbers come from one and the same read. A
     split then needs only its own first row id and the number of records in front of it.
     """
-    tagged = scan.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_name").alias("_name"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
+    columns = scans[0].columns
+    tagged = None
+    for scan in scans:
+        located = scan.select(
+            *columns,
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_name").alias("_name"),
+            F.col("_metadata.file_block_start").alias("_block"),
+        )
+        tagged = located if tagged is None else tagged.unionByName(located)
+    tagged = tagged.withColumn("_row", F.monotonically_increasing_id())
     stored, total = settle_counted(tagged, "records")
     splits = stored.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first")
@@ -62,8 +74,9 @@ def number_records(scan: DataFrame) -> tuple[DataFrame, int]:
     numbered = stored.join(starts, ["_file", "_block"])
     offset = F.col("_row") - F.col("_first")
     result = numbered.select(
-        *scan.columns,
-        F.col("_name").alias("source_file"),
+        *columns,
+        # Spark gives the name as part of a URL, where a plus sign stands for itself.
+        F.url_decode(F.replace("_name", F.lit("+"), F.lit("%2B"))).alias("source_file"),
         (F.col("file_start") + offset).alias("file_row"),
         (F.col("start") + offset).alias("record"),
     )

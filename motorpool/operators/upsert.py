@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from motorpool.operators.keys import dense_ids
+from motorpool.operators.keys import bucket_count, dense_ids
 from motorpool.session import settle, settle_counted
 
 
@@ -72,7 +72,7 @@ def upsert_with_ids(
     numbers are settled before anything is written, so a task that runs again cannot change them.
     """
     fresh, inserted = settle_counted(source.select(key).join(target.select(key), key, "left_anti"), "fresh")
-    numbered = settle(dense_ids(fresh, key, id_column, highest), "ids")
+    numbered = settle(dense_ids(fresh, key, id_column, highest, bucket_count(inserted)), "ids")
     carrying = source.join(numbered, key, "left")
     return upsert(target, carrying, [key], attributes, touch=touch, on_insert=on_insert), inserted
 

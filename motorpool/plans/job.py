@@ -17,11 +17,11 @@ from motorpool.dictionaries import STARTER_BRANDS, alias_table
 from motorpool.functions.numbers import check_period
 from motorpool.operators.brands import load_dictionary
 from motorpool.operators.normalize import normalize, stored_form
-from motorpool.operators.upsert import upsert_with_ids
+from motorpool.operators.upsert import change_payload, changes, upsert_with_ids
 from motorpool.operators.vehicles import fleet_fact, vehicle_dim
-from motorpool.schemas import DIM, DIM_ATTRIBUTES, FACT, NORM, RAW
-from motorpool.session import build_session, settle_counted
-from motorpool.sources.delimited import load_period, resolve_period
+from motorpool.schemas import AUDIT, DIM, DIM_ATTRIBUTES, FACT, NORM, RAW
+from motorpool.session import build_session, scratch_scope, settle_counted
+from motorpool.sources.delimited import Reading, load_period, resolve_period
 from motorpool.sources.publish import Publication
 from motorpool.sources.warehouse import Warehouse, now_literal
 
@@ -82,7 +82,15 @@ def load_core(warehouse: Warehouse, period: int, touch_updated_at: bool = False)
             on_insert={"created_at": now, "updated_at": now},
         )
         warehouse.record_highest_id(DIM, "id_veiculo", last + inserted)
+        before = warehouse.read(DIM)
         warehouse.replace_dim(merged)
+        # Compared with the incoming vehicles only: no other row of the dimension can have changed.
+        log = change_payload(changes(before, vehicles, "hash_veiculo", DIM_ATTRIBUTES))
+        version = warehouse.dim_version()
+        warehouse.replace_periods(
+            log.withColumns({"changed_at": now, "report_period": F.lit(period), "dim_version": F.lit(version)}),
+            AUDIT, [version],
+        )
     # The highest id of a cell belongs to no other cell, so it serves as the fact's own key too.
     fact = fleet_fact(norm, warehouse.read(DIM)).withColumns(
         {"id_fato": F.col("id_raw"), "created_at": now, "updated_at": now}
@@ -102,7 +110,7 @@ def run(
     brands: Sequence[str] | None = STARTER_BRANDS,
     aliases: DataFrame | None = None,
     multi_file: bool = False,
-    encoding: str | None = None,
+    reading: Reading | None = None,
     prefix: str = "",
 ) -> Outcome:
     phases = phase_range(start, stop)
@@ -111,16 +119,17 @@ def run(
     warehouse = Warehouse(spark, root, prefix)
     warehouse.ensure()
     outcome = Outcome(report_period)
-    if "raw" in phases:
-        records, total = load_period(spark, folder, multi_file=multi_file, encoding=encoding)
-        outcome.counts["raw"] = load_raw(warehouse, records, total, report_period)
-    if "normalize" in phases:
-        names = alias_table(spark) if aliases is None else aliases
-        outcome.counts["norm"] = load_norm(warehouse, report_period, brands, names)
-    if "core" in phases:
-        outcome.counts.update(load_core(warehouse, report_period))
-    if "analytics" in phases:
-        outcome.counts["version"] = Publication(warehouse).publish()
+    with scratch_scope(spark):
+        if "raw" in phases:
+            records, total = load_period(spark, folder, multi_file=multi_file, reading=reading)
+            outcome.counts["raw"] = load_raw(warehouse, records, total, report_period)
+        if "normalize" in phases:
+            names = alias_table(spark) if aliases is None else aliases
+            outcome.counts["norm"] = load_norm(warehouse, report_period, brands, names)
+        if "core" in phases:
+            outcome.counts.update(load_core(warehouse, report_period))
+        if "analytics" in phases:
+            outcome.counts["version"] = Publication(warehouse).publish()
     return outcome
 
 

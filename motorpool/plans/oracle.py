@@ -162,6 +162,15 @@ compared AS (
   WHERE u.old_value IS DISTINCT FROM u.new_value)
 """
 
+_HISTORY = """
+loads AS (
+  SELECT * FROM norm QUALIFY row_number() OVER (PARTITION BY hash_veiculo, report_period ORDER BY id_raw) = 1),
+steps AS (
+  SELECT *, lag(descricao_detran) OVER (PARTITION BY hash_veiculo ORDER BY report_period) AS before,
+         row_number() OVER (PARTITION BY hash_veiculo ORDER BY report_period) = 1 AS fresh
+  FROM loads)
+"""
+
 _STAGES = """
 first_seen AS (SELECT hash_veiculo, min(report_period) AS first_period FROM norm GROUP BY ALL),
 seen AS (SELECT DISTINCT report_period, hash_veiculo, first_period FROM norm JOIN first_seen USING (hash_veiculo))
@@ -275,6 +284,17 @@ def _model() -> dict[str, str]:
                FROM compared""",
             _CHANGES,
         ),
+        "change_history": _base(
+            """SELECT report_period, hash_veiculo, marca, modelo, ano_fabricacao,
+               CASE WHEN fresh THEN 'INSERT' ELSE 'UPDATE' END AS action, u.column_name, u.old_value, u.new_value
+               FROM steps, LATERAL (VALUES
+                 ('marca', NULL, CASE WHEN fresh THEN marca END),
+                 ('modelo', NULL, CASE WHEN fresh THEN modelo END),
+                 ('ano_fabricacao', NULL, CASE WHEN fresh THEN CAST(ano_fabricacao AS VARCHAR) END),
+                 ('descricao_detran', before, descricao_detran)) u(column_name, old_value, new_value)
+               WHERE u.old_value IS DISTINCT FROM u.new_value""",
+            _HISTORY,
+        ),
         "stage_counts": _base(
             """SELECT report_period, 'raw' AS stage, count(*) AS n FROM vehicle_raw GROUP BY report_period
                UNION ALL SELECT report_period, 'norm', count(*) FROM norm GROUP BY report_period
@@ -300,6 +320,10 @@ def _reports() -> dict[str, str]:
             """SELECT marca, uf, CAST(sum(frota) AS BIGINT) AS frota, count(*) AS vehicles FROM star
                WHERE report_period = (SELECT max(report_period) FROM vehicle_raw) GROUP BY marca, uf"""
         ),
+        "brand_state_latest": _base(
+            """SELECT marca, uf, CAST(sum(frota) AS BIGINT) AS frota FROM norm
+               WHERE uf IS NOT NULL AND report_period = (SELECT max(report_period) FROM vehicle_raw) GROUP BY marca, uf"""
+        ),
         "fleet_by_state": _base(_by("uf")),
         "fleet_by_brand": _base(_by("marca")),
         "fleet_by_year": _base(_by("ano_fabricacao")),

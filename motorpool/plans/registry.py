@@ -340,6 +340,15 @@ def change_log(spark, sf):
     return change_payload(changes(house.previous_dim(), house.read(DIM), "hash_veiculo", DIM_ATTRIBUTES))
 
 
+@query
+def change_history(spark, sf):
+    rows = scenario(spark, sf).warehouse.history()
+    return rows.select(
+        "report_period", "hash_veiculo", "marca", "modelo", "ano_fabricacao", "action", "column_name", "old_value",
+        "new_value",
+    )
+
+
 @query
 def stage_counts(spark, sf):
     rows = [
@@ -389,6 +398,16 @@ def fleet_star_join(spark, sf):
     return rows.groupBy("marca", "uf").agg(F.sum("frota").alias("frota"), F.count(F.lit(1)).alias("vehicles"))
 
 
+@query
+def brand_state_latest(spark, sf):
+    """Fleet by brand and state for the latest period, straight from the raw layer."""
+    raw = stored_raw(spark, sf)
+    latest = reports.latest_period(raw).first().report_period
+    norm = normalize(raw.where(F.col("report_period") == latest), STARTER_BRANDS, alias_table(spark))
+    named = fleet_cells(norm).join(vehicle_dim(norm).select("hash_veiculo", "marca"), "hash_veiculo")
+    return named.groupBy("marca", "uf").agg(F.sum("frota").alias("frota"))
+
+
 @query
 def fleet_by_state(spark, sf):
     return _report(spark, sf, "uf")

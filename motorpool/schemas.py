@@ -91,6 +91,17 @@ _FACT_FIELDS = (
 )
 DIM = Contract("core", "dim_veiculo_detran", _DIM_FIELDS)
 FACT = Contract("core", "fato_frota_uf", _FACT_FIELDS, partition="report_period")
+AUDIT = Contract("core", "audit_dim_veiculo_detran", (
+    Field("hash_veiculo", "string", 64, required=True),
+    Field("action", "string", required=True),
+    Field("column_name", "string", required=True),
+    Field("old_value", "string"),
+    Field("new_value", "string"),
+    Field("payload", "string"),
+    Field("changed_at", "timestamp_ntz"),
+    Field("report_period", "int"),
+    Field("dim_version", "int", required=True),
+), partition="dim_version")
 PUBLISHED_DIM = Contract("analytics", "dim_veiculo_detran", _DIM_FIELDS)
 PUBLISHED_FACT = Contract("analytics", "fato_frota_uf", _FACT_FIELDS, partition="report_period")
 

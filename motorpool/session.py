@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_scratch: str | None = None
+_scope: list[str] | None = None
 
 
 def build_session(app: str = "motorpool", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,7 +50,24 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scope is not None:
+        _scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch tables made inside once their readers are done, as at the end of a job."""
+    global _scope
+    outer, _scope = _scope, []
+    try:
+        yield
+    finally:
+        made, _scope = _scope, outer
+        for path in made:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

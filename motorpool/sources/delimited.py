@@ -5,6 +5,8 @@ from __future__ import annotations
 import fnmatch
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,25 +53,49 @@ def list_inputs(spark: SparkSession, folder: str, pattern: str = "*.csv") -> lis
     return sorted(found)
 
 
-def detect_encoding(spark: SparkSession, paths: Sequence[str]) -> str:
-    """UTF-8 if every line is valid UTF-8, else Latin-1; checked in parallel over the files."""
-    lines = spark.read.text(list(paths))
-    broken = lines.where(~F.is_valid_utf8("value")).limit(1)
-    return "UTF-8" if broken.isEmpty() else "ISO-8859-1"
+@dataclass(frozen=True)
+class Reading:
+    """How a file is to be read. Records with line breaks inside quotes cannot be split between tasks."""
 
+    encoding: str = "UTF-8"
+    multi_line: bool = False
 
-def _options(encoding: str, separator: str) -> dict[str, str]:
-    return {"sep": separator, "header": "true", "encoding": encoding, "quote": '"', "escape": '"'}
+
+def inspect(spark: SparkSession, paths: Sequence[str]) -> dict[Reading, list[str]]:
+    """Files by the way they must be read, from one parallel pass over their lines.
+
+    A file with a line that is not UTF-8 is Latin-1; a line with an odd number of quotes may open a
+    cell that goes on in the next line.
+    """
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("file"),
+        (~F.is_valid_utf8("value")).alias("broken"),
+        (quotes % 2 == 1).alias("open"),
+    )
+    marks = lines.where("broken OR open").groupBy("file").agg(F.bool_or("broken"), F.bool_or("open")).collect()
+    found = {unquote(urlparse(m[0]).path): Reading("ISO-8859-1" if m[1] else "UTF-8", m[2]) for m in marks}
+    groups: dict[Reading, list[str]] = {}
+    for path in paths:
+        groups.setdefault(found.get(urlparse(path).path, Reading()), []).append(path)
+    return groups
+
+
+def _options(reading: Reading, separator: str) -> dict[str, str]:
+    return {
+        "sep": separator, "header": "true", "encoding": reading.encoding, "quote": '"', "escape": '"',
+        "multiLine": str(reading.multi_line).lower(),
+    }
 
 
 def read_delimited(
     spark: SparkSession,
     paths: Sequence[str],
     separator: str = SEPARATOR,
-    encoding: str | None = None,
+    reading: Reading | None = None,
     suffixes: Sequence[str] = (".csv",),
-) -> DataFrame:
-    """All cells as text under the files' own headers; a record with too many fields raises.
+) -> list[DataFrame]:
+    """Scans of all cells as text under the files' own headers, one for each way of reading.
 
     Files of one call share a header line. Missing-value tokens are left to `missing_to_null`.
     """
@@ -81,14 +107,18 @@ def read_delimited(
             raise FileNotFoundError(path)
         if not path.lower().endswith(tuple(suffixes)):
             raise ValueError(f"expected {' or '.join(suffixes)}, got {path}")
-    options = _options(encoding or detect_encoding(spark, paths), separator)
-    headers = {tuple(spark.read.options(**options).csv(p).columns) for p in paths}
+    groups = {reading: paths} if reading else inspect(spark, paths)
+    headers = {
+        tuple(spark.read.options(**_options(how, separator)).csv(p).columns) for how, ps in groups.items() for p in ps
+    }
     if len(headers) != 1:
         raise ValueError(f"files have different headers: {sorted(headers)}")
     names = list(headers.pop())
     schema = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in [*names, OVERFLOW])
-    scan = spark.read.options(**options, enforceSchema="true").schema(schema).csv(paths)
-    return scan
+    return [
+        spark.read.options(**_options(how, separator), enforceSchema="true").schema(schema).csv(ps)
+        for how, ps in groups.items()
+    ]
 
 
 def missing_to_null(cell: str):
@@ -116,11 +146,11 @@ def _plain_scan(scan: DataFrame) -> tuple[DataFrame, list[str]]:
     return scan.select(*cells), slugs
 
 
-def read_records(scan: DataFrame) -> tuple[DataFrame, int]:
+def read_records(scans: Sequence[DataFrame]) -> tuple[DataFrame, int]:
     """Clean cells with file-order numbers (slug columns, source_file, file_row, record), and a count."""
-    plain, slugs = _plain_scan(scan)
-    numbered, total = number_records(plain)
-    return numbered.withColumns({c: clean_cell(F.col(c)) for c in slugs}), total
+    plain = [_plain_scan(scan) for scan in scans]
+    numbered, total = number_records(*[rows for rows, _ in plain])
+    return numbered.withColumns({c: clean_cell(F.col(c)) for c in plain[0][1]}), total
 
 
 def load_period(
@@ -129,7 +159,7 @@ def load_period(
     *,
     multi_file: bool = False,
     separator: str = SEPARATOR,
-    encoding: str | None = None,
+    reading: Reading | None = None,
 ) -> tuple[DataFrame, int]:
     """The period's input columns, source_file, csv_row (header is row 1), record number; their count.
 
@@ -140,9 +170,9 @@ def load_period(
         raise ValueError(f"no .csv file in {folder}")
     if len(paths) > 1 and not multi_file:
         raise ValueError(f"{len(paths)} files in {folder}; pass multi_file=True to load them together")
-    scan = read_delimited(spark, paths, separator, encoding)
-    validate_headers([c for c in scan.columns if c != OVERFLOW])
-    records, total = read_records(scan)
+    scans = read_delimited(spark, paths, separator, reading)
+    validate_headers([c for c in scans[0].columns if c != OVERFLOW])
+    records, total = read_records(scans)
     if total == 0:
         raise ValueError(f"no records in {folder}")
     extra = set(records.columns) - {*INPUT_COLUMNS, "source_file", "file_row", "record"}

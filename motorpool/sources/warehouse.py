@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from motorpool.schemas import DIM, FACT, NORM, RAW, Contract, conform
+from motorpool.schemas import AUDIT, DIM, FACT, NORM, RAW, Contract, conform
 from motorpool.sources import files
 
 KEEP_DIM_VERSIONS = 2
@@ -53,20 +53,20 @@ class Warehouse:
     def _pointer(self) -> str:
         return f"{self.folder(DIM)}/current.json"
 
-    def _dim_version(self) -> int:
+    def dim_version(self) -> int:
         pointer = files.read_json(self.spark, self._pointer())
         return pointer["version"] if pointer else 0
 
     def location(self, contract: Contract) -> str:
         if contract is DIM:
-            return f"{self.folder(DIM)}/v={self._dim_version()}"
+            return f"{self.folder(DIM)}/v={self.dim_version()}"
         return self.folder(contract)
 
     # Set-up
 
     def ensure(self) -> None:
         """Create schemas and tables that do not exist yet and attach stored partitions."""
-        for contract in (RAW, NORM, DIM, FACT):
+        for contract in (RAW, NORM, DIM, FACT, AUDIT):
             location = self.location(contract)
             files.make_dirs(self.spark, location)
             schema = f"{self.prefix}{contract.schema}"
@@ -152,7 +152,7 @@ class Warehouse:
 
     def replace_dim(self, rows: DataFrame) -> int:
         """Write the dimension as a new version, then move the pointer to it."""
-        current = self._dim_version()
+        current = self.dim_version()
         seen = Observation("dim_write")
         checked = conform(rows, DIM).observe(seen, F.count(F.lit(1)).alias("rows"))
         checked.write.mode("overwrite").parquet(f"{self.folder(DIM)}/v={current + 1}")
@@ -161,7 +161,12 @@ class Warehouse:
         self._refresh(DIM)
         return seen.get["rows"] or 0
 
+    def history(self) -> DataFrame:
+        """Every recorded attribute change with the vehicle it belongs to as it is now."""
+        now = self.read(DIM).select("hash_veiculo", "id_veiculo", "marca", "modelo", "ano_fabricacao")
+        return self.read(AUDIT).join(now, "hash_veiculo")
+
     def previous_dim(self) -> DataFrame:
-        location = f"{self.folder(DIM)}/v={self._dim_version() - 1}"
+        location = f"{self.folder(DIM)}/v={self.dim_version() - 1}"
         files.make_dirs(self.spark, location)
         return self.spark.read.schema(DIM.struct).parquet(location)

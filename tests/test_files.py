@@ -42,6 +42,18 @@ def test_cells_blank_lines_quotes_and_tokens(spark, tmp_path):
     assert [r.csv_row for r in rows] == list(range(2, 2 + len(rows)))
 
 
+def test_files_of_both_encodings_and_line_breaks_in_quotes(spark, tmp_path):
+    put(tmp_path, "a b+ç.csv", HEADER + "SÃO;CITROËN/C3;2010;5\n")
+    put(tmp_path, "b.csv", HEADER + "PARÁ;CITROËN/C4;2010;5\n", "latin-1")
+    put(tmp_path, "c.csv", HEADER + 'RJ;"FORD/\nKA";2010;5\nMG;FORD/KA;2011;6\n')
+    put(tmp_path, "d.csv", "\ufeff" + HEADER + "AC;FORD/KA;2012;7\n")
+    rows = load(spark, tmp_path, multi_file=True)
+    assert [(r.uf, r.marca_modelo, r.source_file, r.csv_row) for r in rows] == [
+        ("SÃO", "CITROËN/C3", "a b+ç.csv", 2), ("PARÁ", "CITROËN/C4", "b.csv", 2), ("RJ", "FORD/\nKA", "c.csv", 2),
+        ("MG", "FORD/KA", "c.csv", 3), ("AC", "FORD/KA", "d.csv", 2),
+    ]
+
+
 def test_token_match_is_exact(spark, tmp_path):
     put(tmp_path, "a.csv", HEADER + "NULL;A/B;1;1\n NULL;A/B;1;1\nNull;A/B;1;1\n")
     assert [r.uf for r in load(spark, tmp_path)] == [None, "NULL", "Null"]
@@ -74,7 +86,7 @@ def test_refused_inputs(spark, tmp_path):
     with pytest.raises(ValueError, match="expected .csv"):
         delimited.read_delimited(spark, [str(tmp_path / "txt" / "a.txt")])
     upper = put(tmp_path / "upper", "a.CSV", HEADER + "SP;A/B;1;2\n")
-    assert delimited.read_delimited(spark, [upper + "/a.CSV"]).count() == 1
+    assert delimited.read_delimited(spark, [upper + "/a.CSV"])[0].count() == 1
 
 
 def test_several_files_need_a_word(spark, tmp_path):
@@ -129,14 +141,14 @@ def test_municipal_text_file_rolls_up_and_writes(spark, tmp_path):
     header = "UF;Município;Marca Modelo;Ano Fabricação Veículo CRV;Qtd. Veículos\n"
     body = "SP;A;F/K;2010;3\nSP;B;F/K;2010;4\nSP;B;F/K;2011;1\nRJ;C;;2010;9\n;C;F/K;2010;9\nRJ;C;F/K;2010;\n"
     put(tmp_path, "m.txt", header + body)
-    scan = delimited.read_delimited(spark, [str(tmp_path / "m.txt")], suffixes=(".txt",))
-    rows, _ = delimited.read_records(scan)
+    scans = delimited.read_delimited(spark, [str(tmp_path / "m.txt")], suffixes=(".txt",))
+    rows, _ = delimited.read_records(scans)
     rolled = roll_up_to_state(rows)
     got = {(r.uf, r.marca_modelo, r.ano_fabricacao_veiculo_crv, r.qtd_veiculos) for r in rolled.collect()}
     assert got == {("SP", "F/K", "2010", 7), ("SP", "F/K", "2011", 1), ("RJ", "F/K", "2010", 0)}
     out = str(tmp_path / "out")
     delimited.write_delimited(rolled, out)
-    assert delimited.read_delimited(spark, delimited.list_inputs(spark, out)).count() == 3
+    assert delimited.read_delimited(spark, delimited.list_inputs(spark, out))[0].count() == 3
 
 
 def test_small_files(spark, tmp_path):

@@ -82,6 +82,31 @@ def test_second_period_keeps_ids_and_updates_the_description(site):
     assert len(site.facts()) == 5
 
 
+def test_changes_are_kept(site):
+    put(site.base, 202501, FIRST)
+    put(site.base, 202506, SECOND)
+    site.run(period=202501)
+    site.run(period=202506)
+    log = {(r.report_period, r.marca, r.action, r.column_name, r.old_value, r.new_value) for r in site.house.history().collect()}
+    assert (202506, "VOLKSWAGEN", "UPDATE", "descricao_detran", "VW/GOL", "VOLKS/GOL") in log
+    assert (202506, "BMW", "INSERT", "ano_fabricacao", None, "2020") in log
+    assert len(log) == 8 + 5
+
+
+def test_a_job_leaves_no_scratch_tables(site, spark, monkeypatch):
+    import motorpool.session as session
+
+    made = []
+    path = session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda *a: made.append(path(*a)) or made[-1])
+    put(site.base, 202501, FIRST)
+    site.run()
+    from motorpool.sources import files
+
+    assert made and not any(files.exists(spark, p) for p in made)
+    assert site.facts()
+
+
 def test_any_phase_can_be_repeated(site):
     put(site.base, 202501, FIRST)
     site.run()

@@ -28,7 +28,7 @@ def test_same_rows_as_sql(spark, small, duck, name):
 
 def test_entry(spark):
     rows = entry_points.entry(spark)
-    assert rows.columns == ["marca", "uf", "frota", "vehicles"] and rows.count() > 0
+    assert rows.columns == ["marca", "uf", "frota"] and rows.count() > 0
 
 
 def plan(df):
