@@ -107,6 +107,13 @@ def uniqueness_profile(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def hash_collisions(hashed: DataFrame, parts: Sequence[str], key: str = "hash_veiculo") -> DataFrame:
+    """Hashes that stand for more than one combination of their parts, and how many each stands for."""
+    combinations = hashed.select(key, *parts).distinct()
+    counted = combinations.groupBy(key).agg(F.count(F.lit(1)).alias("combinations"))
+    return counted.where(F.col("combinations") > 1)
+
+
 def reconcile(staged: DataFrame, stored: DataFrame, key: str = "hash_veiculo") -> DataFrame:
     """Distinct keys on both sides, on one side only; (check_name, n)."""
     left = staged.select(key).distinct().withColumn("_staged", F.lit(True))

@@ -155,6 +155,13 @@ NUMBER_TEXT_SQL = _texts_by_order((
     "inf", "Infinity", "nan", ".5", "5.", "1e", "--1", None, "1.5E+2", "2010.0", "-0.4",
 ))
 TOKEN_SQL = _texts_by_order((*NA_TOKENS, " NA", "Null", "NONE", "0", None))
+# Parts whose brand or model holds the hash separator; the separator's place differs by key.
+PIPED_SQL = """
+SELECT CASE WHEN p.p_partkey % 2 = 0 THEN p.p_brand || '|' || p.p_type ELSE p.p_brand END AS marca,
+       CASE WHEN p.p_partkey % 2 = 0 THEN 'X' ELSE p.p_type || '|' || 'X' END AS modelo,
+       p.p_size % 3 AS ano_fabricacao
+FROM part p
+"""
 ACCENTED_SQL = """
 SELECT o.o_orderkey AS id_raw, 'VEÍCULO AÇÃO ' || n.n_name || ' Nº ' || CAST(o.o_custkey AS STRING) AS descricao
 FROM orders o

@@ -328,6 +328,7 @@ def _reports() -> dict[str, str]:
         "fleet_by_brand": _base(_by("marca")),
         "fleet_by_year": _base(_by("ano_fabricacao")),
         "fleet_by_brand_model": _base(_by("marca", "modelo")),
+        "fleet_by_vehicle": _base(_by("hash_veiculo")),
         "fleet_by_period": _base(_by("report_period")),
         "fleet_by_brand_state_period": _base(_by("report_period", "uf", "marca")),
         "current_vehicles": _base(f"SELECT {_DIM_COLUMNS} FROM dim"),
@@ -382,6 +383,9 @@ sides AS (SELECT s.hash_veiculo IS NOT NULL AS l, d.hash_veiculo IS NOT NULL AS
             + _surplus("duplicate_hash", "dim", "hash_veiculo") + " UNION ALL "
             + _surplus("duplicate_cell", "cells", "report_period, hash_veiculo, uf")
         ),
+        "hash_collision_check": f"""SELECT hash_veiculo, count(*) AS combinations FROM
+            (SELECT DISTINCT {_H3} AS hash_veiculo, marca, modelo, ano_fabricacao FROM ({fixture.PIPED_SQL}) p) d
+            GROUP BY hash_veiculo HAVING count(*) > 1""",
         "dq_profile": _base(profile),
         "dq_reconcile": _base(
             """SELECT 'staged' AS check_name, count(*) FILTER (l) AS n FROM sides

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from motorpool.dictionaries import STARTER_BRANDS, alias_table, inline_table
 from motorpool.functions import makemodel as mm
-from motorpool.functions.hashing import joined_sha256
 from motorpool.functions.numbers import decimal_comma, is_period, truncated_int
 from motorpool.functions.text import blank_to_null, clean_cell, normalize_text
 from motorpool.operators import catalogue, quality, reports
@@ -32,7 +31,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 SCAN_PERIOD = 202506
-TEXT = F.col
 
 
 def query(fn: Query) -> Query:
@@ -428,6 +426,11 @@ def fleet_by_brand_model(spark, sf):
     return _report(spark, sf, "marca", "modelo")
 
 
+@query
+def fleet_by_vehicle(spark, sf):
+    return _report(spark, sf, "hash_veiculo")
+
+
 @query
 def fleet_by_period(spark, sf):
     return _report(spark, sf, "report_period")
@@ -493,6 +496,13 @@ def dq_integrity(spark, sf):
     return quality.integrity_report(house.read(DIM), house.read(FACT))
 
 
+@query
+def hash_collision_check(spark, sf):
+    """Vehicle texts joined with the hash separator, so that some different vehicles share a hash."""
+    rows = fixture.run_sql(spark, sf, fixture.PIPED_SQL)
+    return quality.hash_collisions(with_vehicle_hash(rows), ["marca", "modelo", "ano_fabricacao"])
+
+
 @query
 def dq_profile(spark, sf):
     return quality.profile(stored_raw(spark, sf))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from motorpool.schemas import DIM, FACT, PUBLISHED_DIM, PUBLISHED_FACT, Contract, conform
+from motorpool.schemas import AUDIT, DIM, FACT, PUBLISHED_DIM, PUBLISHED_FACT, Contract, conform
 from motorpool.sources import files
 from motorpool.sources.warehouse import Warehouse, add_partitions
 
@@ -91,3 +91,19 @@ class Publication:
                     f"LOCATION '{self._location(contract, manifest[which])}'"
                 )
                 add_partitions(self.spark, name, contract, self._location(contract, manifest[which]))
+        self._show_views(schema)
+
+    def _show_views(self, schema: str) -> None:
+        """Readable views: the current vehicles, and what changed on them."""
+        audit, dim = (self.warehouse.sql_name(c) for c in (AUDIT, DIM))
+        if self.manifest()["current"] is not None:
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {schema}.vw_dim_veiculo AS SELECT * FROM {schema}.{PUBLISHED_DIM.name}"
+            )
+        if all(map(self.spark.catalog.tableExists, (audit, dim))):
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW {schema}.vw_historico_alteracoes AS "
+                "SELECT d.id_veiculo, d.marca, d.modelo, d.ano_fabricacao, a.action, a.column_name, a.old_value, "
+                "a.new_value, a.payload, a.changed_at, a.report_period "
+                f"FROM {audit} a JOIN {dim} d ON a.hash_veiculo = d.hash_veiculo"
+            )

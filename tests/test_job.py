@@ -171,6 +171,9 @@ def test_layers_are_sql_tables(site, spark):
     ).first()[0]
     assert total == 90
     assert spark.sql(f"SELECT count(*) FROM {p}analytics.fato_frota_uf_prev").first()[0] == 3
+    assert spark.sql(f"SELECT count(*) FROM {p}analytics.vw_dim_veiculo WHERE marca = 'BMW'").first()[0] == 1
+    changed = spark.sql(f"SELECT old_value FROM {p}analytics.vw_historico_alteracoes WHERE action = 'UPDATE'").collect()
+    assert [r.old_value for r in changed] == ["VW/GOL"]
     # A new session-side warehouse object over the same folder finds the stored partitions.
     other = Warehouse(spark, f"{site.base}/house", f"{p}again_")
     other.ensure()
