@@ -26,8 +26,13 @@ def checked_brands(brands: Sequence[str]) -> tuple[str, ...]:
 
 def load_dictionary(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Brand names from a text file, one per line, bounded by MAX_PATTERN_BRANDS."""
-    rows = spark.read.text(path).select(F.trim("value").alias("b")).where("b != ''")
-    return checked_brands([r.b for r in rows.limit(MAX_PATTERN_BRANDS + 1).collect()])
+    return brand_names(spark.read.text(path).select(F.trim("value").alias("brand")).where("brand != ''"))
+
+
+def brand_names(dictionary: DataFrame) -> tuple[str, ...]:
+    """A dictionary small enough for one pattern, as names; a larger one is refused."""
+    rows = dictionary.select("brand").distinct().orderBy("brand").limit(MAX_PATTERN_BRANDS + 1)
+    return checked_brands([r.brand for r in rows.collect()])
 
 
 def dictionary_from_catalogue(catalogue: DataFrame, column: str = "marca") -> DataFrame:

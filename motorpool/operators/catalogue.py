@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from motorpool.dictionaries import FUELS, TRANSMISSIONS, lookup_table
 from motorpool.functions.numbers import decimal_comma, truncated_int
-from motorpool.functions.text import normalize_text
+from motorpool.functions.text import blank_to_null, normalize_text
+from motorpool.operators.upsert import upsert
+from motorpool.operators.vehicles import with_catalogue_hash
+from motorpool.schemas import WIDE_ATTRIBUTES, WIDE_KEY
 
 # Catalogue source column -> normalised column.
 COLUMN_MAP = {
@@ -71,6 +74,19 @@ def normalize_catalogue(source: DataFrame) -> DataFrame:
     return transmission(fuel(typed, "combustivel", "combustivel_norm"), "transmissao", "transmissao_norm")
 
 
+def wide_rows(norm: DataFrame) -> DataFrame:
+    """Rows of the wide catalogue dimension: ten-part hash, then the attributes, blank texts as NULL."""
+    hashed = with_catalogue_hash(norm)
+    kinds = dict(hashed.dtypes)
+    texts = {c: blank_to_null(F.col(c)) for c in WIDE_ATTRIBUTES if kinds[c] == "string"}
+    return hashed.withColumns(texts).select(WIDE_KEY, *WIDE_ATTRIBUTES)
+
+
+def merge_wide(target: DataFrame, norm: DataFrame) -> DataFrame:
+    """Wide dimension after a load: every attribute of a known hash is rewritten, new hashes come in."""
+    return upsert(target, wide_rows(norm), [WIDE_KEY], WIDE_ATTRIBUTES)
+
+
 def year_range_rules(rows: DataFrame, start: str, end: str, required: Sequence[str] = ()) -> DataFrame:
     """Boolean rule columns: ordered range, plausible start, required fields present."""
     ordered = F.col(start).isNull() | F.col(end).isNull() | (F.col(start) <= F.col(end))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from motorpool.functions import makemodel as mm
 from motorpool.functions.numbers import double_or_infinite, is_finite
 from motorpool.functions.text import blank_to_null
-from motorpool.operators.brands import checked_brands
+from motorpool.operators.brands import checked_brands, match_by_join
 from motorpool.session import settle
 
 MIN_FLEET = 10
@@ -32,11 +32,13 @@ def typed_rows(raw: DataFrame) -> DataFrame:
     )
 
 
-def split_make_model(rows: DataFrame, brands: Sequence[str] | None) -> DataFrame:
+def split_make_model(rows: DataFrame, brands: Sequence[str] | DataFrame | None) -> DataFrame:
     """Add marca, modelo and importado from `marca_modelo`, before aliases.
 
-    `brands=None` is the basic split: no dictionary, and `IMP` is an ordinary segment. Each step is a
-    projection of its own, so that later steps refer to its columns instead of repeating its work.
+    The dictionary is a list of names, matched by one pattern, or a DataFrame of any size with a `brand`
+    column, matched by joins. `None` is the basic split: no dictionary, and `IMP` is an ordinary segment.
+    Each step is a projection of its own, so that later steps refer to its columns instead of repeating
+    its work.
     """
     text, body, segment = F.col("marca_modelo"), F.col("_body"), F.col("_segment")
     rest, found = F.col("_rest"), F.col("_found")
@@ -46,14 +48,30 @@ def split_make_model(rows: DataFrame, brands: Sequence[str] | None) -> DataFrame
     if brands is None:
         imported = mm.import_prefixed(text).alias("importado")
         return parts.select(*rows.columns, segment.alias("marca"), rest.alias("modelo"), imported)
-    names = checked_brands(brands)
     parts = parts.withColumn("importado", mm.is_imported(text, segment))
-    # The pattern is only evaluated for imported rows.
-    parts = parts.withColumn("_found", F.when(F.col("importado"), mm.dictionary_prefix(rest, names)))
+    if isinstance(brands, DataFrame):
+        parts = _find_by_join(parts, brands)
+    else:
+        # The pattern is only evaluated for imported rows.
+        hit = mm.dictionary_prefix(rest, checked_brands(brands))
+        parts = parts.withColumn("_found", F.when(F.col("importado"), hit))
     brand = F.when(F.col("importado"), F.nullif(found, F.lit(""))).otherwise(segment)
     return parts.select(*rows.columns, brand.alias("marca"), mm.drop_prefix(rest, found).alias("modelo"), "importado")
 
 
+def _find_by_join(parts: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """`_found` from a dictionary table: match the distinct imported texts, then join the hits back.
+
+    The hits are settled, so their size decides between a broadcast and a shuffle join. All rows keep
+    their own text as join key: a NULL key for domestic rows would gather them in one partition.
+    """
+    if not dictionary.where(F.col("brand") == mm.IMPORT_SEGMENT).isEmpty():
+        raise ValueError(f"{mm.IMPORT_SEGMENT} marks imports and cannot be a brand")
+    hits = settle(match_by_join(parts.where("importado"), "_rest", dictionary), "hits")
+    joined = parts.join(hits.withColumnRenamed("brand", "_hit"), "_rest", "left")
+    return joined.withColumn("_found", F.when(F.col("importado"), F.coalesce("_hit", F.lit("")))).drop("_hit")
+
+
 def apply_aliases(rows: DataFrame, aliases: DataFrame) -> DataFrame:
     """Canonical brand for a listed alias, the brand itself otherwise.
 
@@ -66,7 +84,7 @@ def apply_aliases(rows: DataFrame, aliases: DataFrame) -> DataFrame:
     return matched.select(*[brand if c == "marca" else c for c in rows.columns])
 
 
-def parse_rows(raw: DataFrame, brands: Sequence[str] | None, aliases: DataFrame | None) -> DataFrame:
+def parse_rows(raw: DataFrame, brands: Sequence[str] | DataFrame | None, aliases: DataFrame | None) -> DataFrame:
     rows = split_make_model(typed_rows(raw), brands)
     return rows if aliases is None else apply_aliases(rows, aliases)
 
@@ -88,7 +106,7 @@ def valid_brands(parsed: DataFrame, count_imported: bool = True, min_fleet: int
 
 def normalize(
     raw: DataFrame,
-    brands: Sequence[str] | None,
+    brands: Sequence[str] | DataFrame | None,
     aliases: DataFrame | None,
     *,
     count_imported: bool = True,

@@ -59,7 +59,7 @@ def load_raw(warehouse: Warehouse, records: DataFrame, total: int, period: int)
 
 
 def load_norm(
-    warehouse: Warehouse, period: int, brands: Sequence[str] | None, aliases: DataFrame | None, **rules
+    warehouse: Warehouse, period: int, brands: Sequence[str] | DataFrame | None, aliases: DataFrame | None, **rules
 ) -> int:
     """Replace the period in the norm layer. A raw row gives at most one norm row, so it lends its id."""
     rows = stored_form(normalize(warehouse.raw_period(period), brands, aliases, **rules))
@@ -107,7 +107,7 @@ def run(
     start: str = "raw",
     stop: str = "analytics",
     period: int | str | None = None,
-    brands: Sequence[str] | None = STARTER_BRANDS,
+    brands: Sequence[str] | DataFrame | None = STARTER_BRANDS,
     aliases: DataFrame | None = None,
     multi_file: bool = False,
     reading: Reading | None = None,

@@ -228,6 +228,7 @@ def _split() -> dict[str, str]:
         "valid_brands_by_period": _base("SELECT report_period, marca, frota FROM valid"),
         "valid_brands_no_import": _base("SELECT report_period, marca, frota FROM valid_domestic"),
         "normalize_rows": _base(f"SELECT {_NORM_COLUMNS} FROM norm"),
+        "normalize_by_dictionary_table": _base(f"SELECT {_NORM_COLUMNS} FROM norm"),
         "normalize_no_import_total": _base(
             """SELECT report_period, id_raw, uf, marca, modelo, ano AS ano_fabricacao, qtd AS frota,
                marca_modelo AS descricao_detran, importado FROM parsed SEMI JOIN valid_domestic USING (report_period, marca)

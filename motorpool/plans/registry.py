@@ -23,7 +23,7 @@ from motorpool.operators.vehicles import (
 )
 from motorpool.plans import fixture
 from motorpool.plans.scenario import scenario, stored_raw
-from motorpool.schemas import DIM, DIM_ATTRIBUTES, FACT, NORM, RAW, WIDE_ATTRIBUTES
+from motorpool.schemas import DIM, DIM_ATTRIBUTES, FACT, NORM, RAW
 from motorpool.session import scratch_path, settle
 from motorpool.sources.delimited import missing_to_null, read_delimited, read_records, list_inputs, write_delimited
 
@@ -221,6 +221,11 @@ def normalize_rows(spark, sf):
     return _norm(spark, sf)
 
 
+@query
+def normalize_by_dictionary_table(spark, sf):
+    return normalize(stored_raw(spark, sf), dictionary_table(spark), alias_table(spark))
+
+
 @query
 def normalize_no_import_total(spark, sf):
     return normalize(stored_raw(spark, sf), STARTER_BRANDS, alias_table(spark), count_imported=False)
@@ -324,12 +329,8 @@ def fact_upsert(spark, sf):
 
 @query
 def wide_upsert(spark, sf):
-    def batch(text):
-        rows = with_catalogue_hash(_sql(text)(spark, sf))
-        texts = {c: blank_to_null(F.col(c)) for c in WIDE_ATTRIBUTES if c not in ("year", "excel_row")}
-        return rows.withColumns(texts).select("hash_veiculo", *WIDE_ATTRIBUTES)
-
-    return upsert(batch(fixture.WIDE_FIRST_SQL), batch(fixture.WIDE_SECOND_SQL), ["hash_veiculo"], WIDE_ATTRIBUTES)
+    first = catalogue.wide_rows(_sql(fixture.WIDE_FIRST_SQL)(spark, sf))
+    return catalogue.merge_wide(first, _sql(fixture.WIDE_SECOND_SQL)(spark, sf))
 
 
 @query

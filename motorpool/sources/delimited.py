@@ -6,7 +6,7 @@ import fnmatch
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from urllib.parse import unquote, urlparse
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +61,11 @@ class Reading:
     multi_line: bool = False
 
 
+def _bare(path: str) -> str:
+    """Path without scheme and host."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
+
+
 def inspect(spark: SparkSession, paths: Sequence[str]) -> dict[Reading, list[str]]:
     """Files by the way they must be read, from one parallel pass over their lines.
 
@@ -74,10 +79,10 @@ def inspect(spark: SparkSession, paths: Sequence[str]) -> dict[Reading, list[str
         (quotes % 2 == 1).alias("open"),
     )
     marks = lines.where("broken OR open").groupBy("file").agg(F.bool_or("broken"), F.bool_or("open")).collect()
-    found = {unquote(urlparse(m[0]).path): Reading("ISO-8859-1" if m[1] else "UTF-8", m[2]) for m in marks}
+    found = {unquote(_bare(m[0])): Reading("ISO-8859-1" if m[1] else "UTF-8", m[2]) for m in marks}
     groups: dict[Reading, list[str]] = {}
     for path in paths:
-        groups.setdefault(found.get(urlparse(path).path, Reading()), []).append(path)
+        groups.setdefault(found.get(_bare(path), Reading()), []).append(path)
     return groups
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from motorpool.dictionaries import BRAND_ALIASES, STARTER_BRANDS, alias_table, inline_table
 from motorpool.functions import makemodel as mm
 from motorpool.operators.brands import (
-    checked_brands, dictionary_from_catalogue, dictionary_table, load_dictionary, longest_first, match_by_join,
+    brand_names, checked_brands, dictionary_from_catalogue, dictionary_table, load_dictionary, longest_first, match_by_join,
 )
 from motorpool.operators.normalize import (
     apply_aliases, brand_totals, normalize, parse_rows, split_make_model, valid_brands,
@@ -81,13 +81,17 @@ def expected_split(text, brands):
     return brand, rest, imported
 
 
-def test_random_texts_follow_the_rules(spark):
+@pytest.mark.parametrize("as_table", [False, True])
+def test_random_texts_follow_the_rules(spark, as_table):
     random.seed(11)
     pieces = ["I/", "IMP/", "IMP", "/", "FORD", "FIAT", "FIAT ALLIS", "MAN", "MANGOSTEEN", " ", " ", "X1", "A.", "VW", "i/"]
     texts = ["".join(random.choice(pieces) for _ in range(random.randint(0, 6))) for _ in range(1500)]
     raw = raw_rows(spark, [(t, "2010", "1") for t in texts])
     rows = raw.withColumns({"ano_fabricacao": F.lit(2010), "frota": F.lit(1)})
-    for got in split_make_model(rows, STARTER_BRANDS).collect():
+    brands = dictionary_table(spark) if as_table else STARTER_BRANDS
+    found = split_make_model(rows, brands).collect()
+    assert len(found) == len(texts)
+    for got in found:
         assert (got.marca, got.modelo, got.importado) == expected_split(got.marca_modelo, STARTER_BRANDS), got
 
 
@@ -113,6 +117,12 @@ def test_dictionary_sources(spark, tmp_path):
     assert load_dictionary(spark, str(path)) == ("FORD", "BMW")
     with pytest.raises(ValueError):
         checked_brands(["FORD", "IMP"])
+    assert brand_names(dictionary_table(spark, ["B", "A", "B"])) == ("A", "B")
+    with pytest.raises(ValueError, match="do not fit one pattern"):
+        brand_names(spark.range(6000).selectExpr("concat('B', id) AS brand"))
+    imp = raw_rows(spark, [("I/X", "1", "1")])
+    with pytest.raises(ValueError, match="cannot be a brand"):
+        parse_rows(imp, dictionary_table(spark, ["IMP"]), None)
     rows = spark.createDataFrame([("Citroën",), ("CITROEN ",), ("Land  Rover",), (None,), (" ",)], "marca string")
     assert {r.brand for r in dictionary_from_catalogue(rows).collect()} == {"CITROEN", "LAND ROVER"}
     ordered = [r.brand for r in longest_first(dictionary_table(spark, ["RAM", "FIAT ALLIS", "FIAT", "BMW"])).collect()]
