@@ -26,7 +26,8 @@ def checked_brands(brands: Sequence[str]) -> tuple[str, ...]:
 
 def load_dictionary(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Brand names from a text file, one per line, bounded by MAX_PATTERN_BRANDS."""
-    return brand_names(spark.read.text(path).select(F.trim("value").alias("brand")).where("brand != ''"))
+    rows = spark.read.text(path).select(F.trim("value").alias("brand")).where("brand != ''")
+    return checked_brands([r.brand for r in rows.limit(MAX_PATTERN_BRANDS + 1).collect()])
 
 
 def brand_names(dictionary: DataFrame) -> tuple[str, ...]:
