@@ -1,7 +1,7 @@
 """The phase job: raw -> normalize -> core -> analytics for one report period.
 
 Each phase reads the stored layer before it, so a run may start and stop at any phase and may be
-repeated. From a shell: `spark-submit motorpool/plans/job.py --root ROOT --input BASE [options]`.
+repeated. `fleet_job.py` at the root of the repository is its command line.
 """
 
 from __future__ import annotations
@@ -150,7 +150,3 @@ def main(argv: Sequence[str] | None = None) -> None:
         brands=load_dictionary(spark, options.brands) if options.brands else STARTER_BRANDS,
     )
     print(outcome)
-
-
-if __name__ == "__main__":
-    main()
