@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from motorpool.llm import mixing, packing, quality, simhash, substrings, toxicity
+from motorpool.llm import chat, mixing, near_vectors, neighbours, packing, quality, simhash, substrings, toxicity, warc
 from motorpool.llm.common import table
 
 
@@ -37,6 +38,22 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))[0].drop("text", "lang", "n_chars")
 
 
+def op6_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op7_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.render(table(spark, sf_dir, "conversations"))
+
+
+def op8_spherical_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
 
@@ -47,7 +64,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_substrings": op4_substrings,
     "op5_mixing": op5_mixing,
+    "op6_learned_partitions": op6_learned_partitions,
+    "op7_snapshots": op7_snapshots,
+    "op8_spherical_cells": op8_spherical_cells,
+    "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op7_snapshots": chat.ORACLE, "op9_warc": warc.ORACLE}

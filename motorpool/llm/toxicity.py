@@ -219,32 +219,54 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
     return train([r["text"] for r in got], np.array([r["y"] for r in got], np.int64))
 
 
+def decisions(texts: list[bytes | None], model: Model, known: dict[str, float]) -> np.ndarray:
+    """The worst word's decision of each text, at least 0; `known` remembers words."""
+    out = np.zeros(len(texts))
+    for s, e in doc_groups(texts, 2 << 20):
+        bags = [words_of((t or b"").decode("utf-8", "replace")) for t in texts[s:e]]
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        new = list(set().union(*bags).difference(known))
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            known.update(zip(part, model.words(part).tolist()))
+        out[s:e] = [max(0.0, max(map(known.__getitem__, b), default=0.0)) for b in bags]
+    return out
+
+
+def _shared(spark, model: Model):
+    """The model for tasks; its size is that of the hash table, whatever the data."""
+    return spark.sparkContext.broadcast((model.weights.astype(np.float32), model.slope, model.shift))
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` (doc_id, text) as (doc_id, score). Null and empty texts have no word and get the curve's lowest score."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.slope, model.shift))
+    shared = _shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Model(*shared.value)
-        known: dict[str, float] = {}
+        own, known = Model(*shared.value), {}
         for batch in batches:
-            texts = utf8(batch.column(1))
-            decision = np.zeros(len(texts))
-            for s, e in doc_groups(texts, 2 << 20):
-                bags = [words_of((t or b"").decode("utf-8", "replace")) for t in texts[s:e]]
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                new = list(set().union(*bags).difference(known))
-                for at in range(0, len(new), 20_000):
-                    part = new[at : at + 20_000]
-                    known.update(zip(part, own.words(part).tolist()))
-                decision[s:e] = [max(0.0, max(map(known.__getitem__, b), default=0.0)) for b in bags]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.score(decision))], names=["doc_id", "score"])
+            score = own.score(decisions(utf8(batch.column(1)), own, known))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score)], names=["doc_id", "score"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, score double")
 
 
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of `docs` whose text scores below `threshold`, with all their columns."""
+    shared = _shared(docs.sparkSession, model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, known = Model(*shared.value), {}
+        for batch in batches:
+            clean = own.score(decisions(utf8(batch.column(at)), own, known)) < threshold
+            yield batch.filter(pa.array(clean))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, held_out, score, predicted: one row per row of `docs`, repeated rows and null ids included."""
     out = scored(docs, fit(docs, labels))
