@@ -10,7 +10,7 @@ positions only: two equal passages of `window` words always share such an anchor
 3. the words those windows cover are removed.
 
 Step 1 may report too much (32 bits of a hash), never too little; step 2 compares 96 bits of whole windows.
-Both meetings happen in tasks dealt by hash. What occurs twice within one group of texts is settled there and
+Both meetings happen in tasks dealt by hash, one bucket to a task. What occurs twice within one group of texts is settled there and
 sends one row only, so a passage that a third of all documents share is a row per group, not per occurrence.
 Texts are known by a 96-bit hash: equal texts have equal windows, so one answer serves all of them.
 """
@@ -35,8 +35,6 @@ WINDOW_WORDS = 35
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16)}
 #: Shortest anchor in words, as far as the window allows.
 ANCHOR_WORDS = 12
-#: Buckets of one partition: enough that they spread evenly.
-BUCKETS_PER_PARTITION = 8
 BASES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03)
 KEY = np.dtype([("a", "<i8"), ("b", "<i4")])
 
@@ -80,86 +78,110 @@ def _keys(batch: pa.RecordBatch) -> np.ndarray:
     return keys
 
 
-BLOBS = "bucket int, hashes binary, keys binary, places binary, many boolean"
+BLOBS = "bucket int, asks binary, told binary, keys binary, places binary"
+
+
+def _split(at: np.ndarray) -> Iterator[tuple[int, slice]]:
+    """(value, range) of each run of equal values in a sorted array."""
+    edge = np.r_[0, np.flatnonzero(np.diff(at)) + 1, len(at)]
+    for s, e in zip(edge[:-1], edge[1:]):
+        if e > s:
+            yield int(at[s]), slice(s, e)
+
+
+def _dealt(upper: np.ndarray, buckets: int) -> np.ndarray:
+    """A bucket below `buckets` from the upper halves of hashes."""
+    return (upper >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
 
 
 def _blobs(hashes: np.ndarray, keys: np.ndarray, places: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows to deal out by hash: what the group holds once asks for an answer; what it holds twice is announced
-    once, with its places as a row that needs no meeting (bucket below 0)."""
+    """One row for each bucket that the group has hashes of. What the group holds once asks for an answer; of what it
+    holds twice the hash is told once, and its texts and places are known to be met (they follow those that ask)."""
     if not len(hashes):
         return
-    _, first, back, count = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
-    again = count[back] > 1
-    names = BLOBS.replace(" int", "").replace(" binary", "").replace(" boolean", "").split(", ")
-    rows: list[tuple] = []
-
-    def dealt(pick: np.ndarray, many: bool) -> None:
-        bucket = (hashes["a"][pick] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-        order = np.argsort(bucket, kind="stable")
-        pick, bucket = pick[order], bucket[order]
-        for at in np.split(np.arange(len(pick)), np.flatnonzero(np.diff(bucket)) + 1):
-            own = pick[at]
-            asks = (b"", b"") if many else (keys[own].tobytes(), places[own].tobytes())
-            rows.append((int(bucket[at[0]]), hashes["b"][own].tobytes(), *asks, many))
-
-    if (~again).any():
-        dealt(np.flatnonzero(~again), False)
-    if again.any():
-        dealt(first[count > 1], True)
-        own = np.flatnonzero(again)
-        home = (keys["a"][own].view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-        order = np.argsort(home, kind="stable")
-        own, home = own[order], home[order]
-        for at in np.split(np.arange(len(own)), np.flatnonzero(np.diff(home)) + 1):
-            rows.append((-1 - int(home[at[0]]), b"", keys[own[at]].tobytes(), places[own[at]].tobytes(), True))
-    schema = pa.schema([("bucket", pa.int32()), ("hashes", pa.binary()), ("keys", pa.binary()), ("places", pa.binary()), ("many", pa.bool_())])
-    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], names=names)
+    order = np.argsort(hashes["a"], kind="stable")
+    same = np.r_[False, (hashes["a"][order][1:] == hashes["a"][order][:-1]) & (hashes["b"][order][1:] == hashes["b"][order][:-1])]
+    more = same | np.r_[same[1:], False]
+    again = np.empty(len(order), bool)
+    again[order] = more
+    bucket = _dealt(hashes["a"], buckets)
+    told = order[more & ~same]
+    told = told[np.argsort(bucket[told], kind="stable")]
+    telling = {b: hashes["b"][told[at]].tobytes() for b, at in _split(bucket[told])}
+    order = np.lexsort((again, bucket))
+    rows = []
+    for b, at in _split(bucket[order]):
+        own = order[at]
+        asking = own[~again[own]]
+        rows.append((b, hashes["b"][asking].tobytes(), telling.get(b, b""), keys[own].tobytes(), places[own].tobytes()))
+    types = [pa.int32(), *[pa.binary()] * 4]
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), types)], names=["bucket", "asks", "told", "keys", "places"])
+
+
+def _distinct(found: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (key, place), sorted."""
+    keys, places = (np.concatenate(x) for x in zip(*found))
+    order = np.lexsort((places, keys["b"], keys["a"]))
+    keys, places = keys[order], places[order]
+    keep = np.r_[True, (keys[1:] != keys[:-1]) | (places[1:] != places[:-1])]
+    return keys[keep], places[keep]
 
 
 def _meetings(blobs: DataFrame, width: int) -> DataFrame:
-    """(a, b, places binary): for each text, the places whose hash was met more than once."""
+    """(a, b, places binary): for each text, the places whose hash was met more than once.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Answers go back in two steps, so that their number follows that of the texts: a bucket sends one row to each
+    task of the next step, where the places of a text come together.
+    """
+    n = partitions(blobs.sparkSession)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[int, list[tuple]] = {}
         for batch in batches:
-            for bucket, hashes, keys, places, many in zip(*(c.to_pylist() for c in batch.columns)):
-                met.setdefault(bucket, []).append((hashes, keys, places, many))
+            for bucket, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                met.setdefault(bucket, []).append(row)
         found = []
-        for bucket, rows in met.items():
-            asks = [r for r in rows if not r[3]] if bucket >= 0 else rows
-            keys = np.frombuffer(b"".join(r[1] for r in asks), KEY)
-            places = np.frombuffer(b"".join(r[2] for r in asks), np.uint32)
-            if bucket >= 0:
-                told = [r[0] for r in rows if r[3]]
-                hashes = np.frombuffer(b"".join([*(r[0] for r in asks), *told, *told]), f"V{width}")
-                # sorted as numbers: void values have no order
-                low = np.frombuffer(hashes.tobytes(), np.uint32).reshape(-1, width // 4)
-                order = np.lexsort(low.T)
-                same = np.r_[False, (low[order][1:] == low[order][:-1]).all(axis=1)]
-                shared = np.empty(len(order), bool)
-                shared[order] = same | np.r_[same[1:], False]
-                keys, places = keys[shared[: len(keys)]], places[shared[: len(places)]]
-            if len(keys):
-                found.append((keys, places))
+        for rows in met.values():
+            told = [r[1] for r in rows]
+            asks = [r[0] for r in rows]
+            hashes = np.frombuffer(b"".join([*asks, *told, *told]), np.uint32).reshape(-1, width // 4)
+            order = np.lexsort(hashes.T)
+            same = np.r_[False, (hashes[order][1:] == hashes[order][:-1]).all(axis=1)]
+            shared = np.empty(len(order), bool)
+            shared[order] = same | np.r_[same[1:], False]
+            at = 0
+            for ask, _, keys, places in rows:
+                k = len(ask) // width
+                keys, places = np.frombuffer(keys, KEY), np.frombuffer(places, np.uint32)
+                take = np.r_[shared[at : at + k], np.ones(len(keys) - k, bool)]
+                at += k
+                if take.any():
+                    found.append((keys[take], places[take]))
         met.clear()
+        if found:
+            keys, places = _distinct(found)
+            home = _dealt(keys["a"].view(np.uint64), n)
+            order = np.argsort(home, kind="stable")
+            rows = [(h, keys[order[at]].tobytes(), places[order[at]].tobytes()) for h, at in _split(home[order])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["home", "keys", "places"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [
+            (np.frombuffer(k, KEY), np.frombuffer(p, np.uint32))
+            for batch in batches for k, p in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())
+        ]
         if not found:
             return
-        keys, places = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((places, keys["b"], keys["a"]))
-        keys, places = keys[order], places[order]
-        new = np.r_[True, keys[1:] != keys[:-1]]
-        keep = new | np.r_[True, places[1:] != places[:-1]]
-        places, new = places[keep], new[keep]
-        keys = keys[keep][new]
-        at = np.r_[np.flatnonzero(new), len(places)]
-        for s in range(0, len(keys), 20_000):
-            e = min(len(keys), s + 20_000)
+        keys, places = _distinct(found)
+        at = np.r_[np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]), len(keys)]
+        keys = keys[at[:-1]]
+        for s in range(0, len(keys), 10_000):
+            e = min(len(keys), s + 10_000)
             own = pa.array([places[at[i] : at[i + 1]].tobytes() for i in range(s, e)], pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(keys["a"][s:e].copy()), pa.array(keys["b"][s:e].copy()), own], names=["a", "b", "places"])
 
-    n = partitions(blobs.sparkSession)
-    met = blobs.repartition(n, "bucket").mapInArrow(run, "a long, b int, places binary")
-    return met.groupBy("a", "b").agg(F.collect_set("places").alias("places"))
+    sent = blobs.repartitionById(n, "bucket").mapInArrow(meet, "home int, keys binary, places binary")
+    return sent.repartitionById(n, "home").mapInArrow(gather, "a long, b int, places binary")
 
 
 def _pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -195,11 +217,11 @@ def _anchors(texts: DataFrame, window: int, buckets: int) -> DataFrame:
     return texts.mapInArrow(run, BLOBS)
 
 
-def _marked(found: list[bytes] | None, ahead: int, behind: int, n: int) -> np.ndarray:
+def _marked(found: bytes | None, ahead: int, behind: int, n: int) -> np.ndarray:
     """True at each i < n with i in [p - behind, p + ahead) for a place p."""
     edge = np.zeros(n + 1, np.int32)
-    for blob in found or ():
-        places = np.frombuffer(blob, np.uint32).astype(np.int64)
+    if found:
+        places = np.frombuffer(found, np.uint32).astype(np.int64)
         places = places[places < n + behind]
         np.add.at(edge, np.clip(places - behind, 0, n), 1)
         np.add.at(edge, np.clip(places + ahead, 0, n), -1)
@@ -232,7 +254,7 @@ def _windows(texts: DataFrame, window: int, buckets: int) -> DataFrame:
 def repeated_windows(docs: DataFrame, window: int = WINDOW_WORDS, text: str = "text") -> DataFrame:
     """(a, b, places): for each text hash, the starts (packed uint32) of windows that also start elsewhere."""
     spark = docs.sparkSession
-    buckets = partitions(spark) * BUCKETS_PER_PARTITION
+    buckets = partitions(spark)
     texts = docs.select(*text_key(text), F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
     shared = settle(_meetings(_anchors(texts, window, buckets), 4), "anchors")
     near = texts.join(shared, ["a", "b"])

@@ -294,7 +294,7 @@ ORACLE = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
 d AS (SELECT page_id, h, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS top FROM p)
 SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            1 + CAST((CAST('0x' || substr(x, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31 AS BIGINT), 1)), '') AS payload_digest,
        CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> top THEN top END AS refers_to
