@@ -70,7 +70,7 @@ def main() -> None:
     root = scratch_path(spark, "bench")
     period = write_inputs(stored_raw(spark, sf_dir), f"{root}/input")[-1]
     seconds["phase_job_one_period"] = timed(
-        lambda: run(spark, root, f"{root}/input", period=period, multi_file=True, prefix="bench_")
+        lambda: run(spark, root, f"{root}/input", period=period, multi_file=True, prefix="bench_", brands=STARTER_BRANDS)
     )
     total = round(sum(seconds.values()), 4)
     name = os.path.basename(sf_dir).removeprefix("sf")

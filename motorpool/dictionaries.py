@@ -67,8 +67,8 @@ NA_TOKENS = (
     "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 )
 
-# A starter list of makes for the prefix match on imported vehicles. Production runs pass their own
-# dictionary (see `operators.brands.load_dictionary` and `dictionary_from_catalogue`).
+# Makes for the fixture and the tests. The job takes its dictionary as an input and has no default, so that no
+# make is dropped unnoticed (see `operators.brands.load_dictionary` and `dictionary_from_catalogue`).
 STARTER_BRANDS = tuple(
     line.strip()
     for line in """

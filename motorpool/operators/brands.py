@@ -24,10 +24,11 @@ def checked_brands(brands: Sequence[str]) -> tuple[str, ...]:
     return names
 
 
-def load_dictionary(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """Brand names from a text file, one per line, bounded by MAX_PATTERN_BRANDS."""
+def load_dictionary(spark: SparkSession, path: str) -> tuple[str, ...] | DataFrame:
+    """Brand names from a text file, one per line: names for one pattern, or a table for the join beyond that."""
     rows = spark.read.text(path).select(F.trim("value").alias("brand")).where("brand != ''")
-    return checked_brands([r.brand for r in rows.limit(MAX_PATTERN_BRANDS + 1).collect()])
+    names = [r.brand for r in rows.limit(MAX_PATTERN_BRANDS + 1).collect()]
+    return checked_brands(names) if len(names) <= MAX_PATTERN_BRANDS else rows.distinct()
 
 
 def brand_names(dictionary: DataFrame) -> tuple[str, ...]:

@@ -60,7 +60,7 @@ def map_columns(source: DataFrame) -> DataFrame:
 
 
 def normalize_catalogue(source: DataFrame) -> DataFrame:
-    """One normalised row per source row: repeats stay, the upsert removes them by hash."""
+    """One normalised row per source row: repeats stay, `merge_wide` removes them by hash."""
     renamed = map_columns(source)
     typed = renamed.withColumns({
         **{f"{c}_norm": normalize_text(F.col(c)) for c in ("marca", "modelo", "versao", "motor")},
@@ -83,8 +83,13 @@ def wide_rows(norm: DataFrame) -> DataFrame:
 
 
 def merge_wide(target: DataFrame, norm: DataFrame) -> DataFrame:
-    """Wide dimension after a load: every attribute of a known hash is rewritten, new hashes come in."""
-    return upsert(target, wide_rows(norm), [WIDE_KEY], WIDE_ATTRIBUTES)
+    """Wide dimension after a load: every attribute of a known hash is rewritten, new hashes come in.
+
+    A batch may repeat a hash; its row with the lowest source row number counts, then the lowest attributes.
+    """
+    row = F.struct(*WIDE_ATTRIBUTES)
+    picked = wide_rows(norm).groupBy(WIDE_KEY).agg(F.min_by(row, F.struct("excel_row", row)).alias("v"))
+    return upsert(target, picked.select(WIDE_KEY, "v.*"), [WIDE_KEY], WIDE_ATTRIBUTES)
 
 
 def year_range_rules(rows: DataFrame, start: str, end: str, required: Sequence[str] = ()) -> DataFrame:

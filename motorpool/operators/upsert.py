@@ -11,9 +11,14 @@ from motorpool.operators.keys import bucket_count, dense_ids
 from motorpool.session import settle, settle_counted
 
 
+def repeated_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, n) of the keys that stand in more than one row; counted map-side first, so a hot key is no problem."""
+    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
 def assert_unique(rows: DataFrame, keys: Sequence[str]) -> None:
-    """A merge source may hold a key once; counted map-side first, so a hot key is no problem."""
-    repeated = rows.groupBy(*keys).count().where("count > 1").limit(1).collect()
+    """A merge source may hold a key once."""
+    repeated = repeated_keys(rows, keys).limit(1).collect()
     if repeated:
         raise ValueError(f"merge source repeats key {repeated[0].asDict()}")
 
@@ -68,9 +73,11 @@ def upsert_with_ids(
 ) -> tuple[DataFrame, int]:
     """Merge that keeps existing surrogate keys and numbers new rows after `highest`.
 
-    Returns the merged table and the number of new rows. Only the new keys are numbered, and their
+    Returns the merged table and the number of new rows. A source that repeats a key is refused; it should
+    be settled, since it is read three times. Only the new keys are numbered, and their
     numbers are settled before anything is written, so a task that runs again cannot change them.
     """
+    assert_unique(source, [key])
     fresh, inserted = settle_counted(source.select(key).join(target.select(key), key, "left_anti"), "fresh")
     numbered = settle(dense_ids(fresh, key, id_column, highest, bucket_count(inserted)), "ids")
     carrying = source.join(numbered, key, "left")

@@ -80,13 +80,13 @@ JOIN {_numbered(_RANGE_TEXTS, 'r(k, a, b)')} ON p.p_partkey % {len(_RANGE_TEXTS)
 """
 
 
-def _wide_sql(source: str, batch: str, power: str, engine: str) -> str:
+def _wide_sql(source: str, batch: str, power: str, engine: str, repeat: str = "0") -> str:
     """One batch of the wide catalogue: {batch} changes attributes, {engine} also changes some hashes."""
     return f"""
 SELECT CAST(p.p_partkey AS STRING) AS source_code, p.p_brand AS brand, p.p_name AS model,
        p.p_type AS version, {engine} AS engine_name, 'INLINE' AS engine_config,
        {power} AS power_cv, 'Flex' AS fuel, 'Turbo' AS aspiration,
-       'K' || CAST(p.p_partkey AS STRING) AS ktype_tecdoc, '{batch}' AS classification,
+       'K' || CAST(p.p_partkey AS STRING) AS ktype_tecdoc, '{batch}' || CAST({repeat} AS STRING) AS classification,
        CASE WHEN p.p_size % 5 = 0 THEN ' ' ELSE 'CARRO' END AS vehicle_type, 'LEVE' AS vehicle_category,
        CAST(p.p_size % 4 AS STRING) AS generation, CAST(p.p_size % 7 AS STRING) AS displacement_liters,
        'OHC' AS command, CAST(p.p_size % 8 AS STRING) AS cylinder_count, 'Manual' AS transmission,
@@ -96,7 +96,7 @@ SELECT CAST(p.p_partkey AS STRING) AS source_code, p.p_brand AS brand, p.p_name
        'MANUAL' AS transmission_norm,
        CASE WHEN p.p_size % 3 = 0 THEN NULL ELSE 'TURBO' END AS aspiration_norm,
        CAST(1990 + p.p_size % 30 AS INT) AS year, '{batch}' AS load_timestamp,
-       'catalogue_{batch}' AS source_file, CAST(p.p_partkey AS INT) AS excel_row
+       'catalogue_{batch}' AS source_file, CAST(p.p_partkey + 1000000 * {repeat} AS INT) AS excel_row
 FROM {source}
 """
 
@@ -104,10 +104,12 @@ FROM {source}
 WIDE_FIRST_SQL = _wide_sql("part p", "first", "CAST(p.p_size AS STRING)", "'E' || CAST(p.p_size AS STRING)")
 WIDE_SECOND_SQL = _wide_sql(
     """(SELECT l_partkey, max(l_quantity) AS q, count(*) AS n FROM lineitem GROUP BY l_partkey) s
-JOIN part p ON s.l_partkey = p.p_partkey""",
+JOIN part p ON s.l_partkey = p.p_partkey
+JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) d ON d.k = 0 OR p.p_partkey % 5 = 0""",
     "second",
     "CAST(CAST(s.q AS INT) AS STRING)",
     "CASE WHEN s.n % 2 = 0 THEN 'N' ELSE 'E' END || CAST(p.p_size AS STRING)",
+    "d.k",
 )
 
 # Orders as municipality rows: the customer stands for the municipality, some keys are missing.

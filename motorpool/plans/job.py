@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorpool.dictionaries import STARTER_BRANDS, alias_table
+from motorpool.dictionaries import alias_table
 from motorpool.functions.numbers import check_period
 from motorpool.operators.brands import load_dictionary
 from motorpool.operators.normalize import normalize, stored_form
@@ -26,6 +26,8 @@ from motorpool.sources.publish import Publication
 from motorpool.sources.warehouse import Warehouse, now_literal
 
 PHASES = ("raw", "normalize", "core", "analytics")
+#: Stands for a dictionary that was not given.
+NOT_GIVEN = object()
 
 
 @dataclass
@@ -54,8 +56,10 @@ def load_raw(warehouse: Warehouse, records: DataFrame, total: int, period: int)
         "id_raw": F.col("record") + F.lit(base + 1),
         "load_timestamp": now_literal(),
     })
+    stored = warehouse.replace_periods(rows, RAW, [period])
+    # Only now are the norm rows stale; a failed write above leaves them as they were.
     warehouse.clear_periods([NORM], [period])
-    return warehouse.replace_periods(rows, RAW, [period])
+    return stored
 
 
 def load_norm(
@@ -83,14 +87,16 @@ def load_core(warehouse: Warehouse, period: int, touch_updated_at: bool = False)
         )
         warehouse.record_highest_id(DIM, "id_veiculo", last + inserted)
         before = warehouse.read(DIM)
-        warehouse.replace_dim(merged)
+        version = warehouse.write_dim(merged)
         # Compared with the incoming vehicles only: no other row of the dimension can have changed.
+        # Logged before the version becomes current: a failure in between is repaired by the next run,
+        # which writes the same version and its log again.
         log = change_payload(changes(before, vehicles, "hash_veiculo", DIM_ATTRIBUTES))
-        version = warehouse.dim_version()
         warehouse.replace_periods(
             log.withColumns({"changed_at": now, "report_period": F.lit(period), "dim_version": F.lit(version)}),
             AUDIT, [version],
         )
+        warehouse.switch_dim(version)
     # The highest id of a cell belongs to no other cell, so it serves as the fact's own key too.
     fact = fleet_fact(norm, warehouse.read(DIM)).withColumns(
         {"id_fato": F.col("id_raw"), "created_at": now, "updated_at": now}
@@ -107,13 +113,20 @@ def run(
     start: str = "raw",
     stop: str = "analytics",
     period: int | str | None = None,
-    brands: Sequence[str] | DataFrame | None = STARTER_BRANDS,
+    brands: Sequence[str] | DataFrame | None | object = NOT_GIVEN,
     aliases: DataFrame | None = None,
     multi_file: bool = False,
     reading: Reading | None = None,
     prefix: str = "",
 ) -> Outcome:
+    """Run the phases from `start` to `stop` for one period, the latest one if none is named.
+
+    `brands` is the dictionary for imported vehicles: names, or a table with a column `brand`. Normalising
+    without one would drop every imported vehicle, so it has to be given; None asks for just that.
+    """
     phases = phase_range(start, stop)
+    if "normalize" in phases and brands is NOT_GIVEN:
+        raise ValueError("the normalize phase needs a brand dictionary: brands=..., or --brands FILE")
     wanted = None if period is None else check_period(str(period))
     report_period, folder = resolve_period(spark, input_base, wanted)
     warehouse = Warehouse(spark, root, prefix)
@@ -130,6 +143,7 @@ def run(
             outcome.counts.update(load_core(warehouse, report_period))
         if "analytics" in phases:
             outcome.counts["version"] = Publication(warehouse).publish()
+        warehouse.log_counts(report_period, {k: n for k, n in outcome.counts.items() if k != "version"})
     return outcome
 
 
@@ -140,13 +154,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--start-from", choices=PHASES, default="raw")
     parser.add_argument("--stop-at", choices=PHASES, default="analytics")
     parser.add_argument("--period", help="YYYYMM; the latest folder if left out")
-    parser.add_argument("--brands", help="text file with one brand per line")
+    parser.add_argument("--brands", help="text file with one brand per line; needed to normalize")
     parser.add_argument("--multi-file", action="store_true", help="load all files of the period folder")
     options = parser.parse_args(argv)
     spark = build_session()
     outcome = run(
         spark, options.root, options.input, start=options.start_from, stop=options.stop_at,
         period=options.period, multi_file=options.multi_file,
-        brands=load_dictionary(spark, options.brands) if options.brands else STARTER_BRANDS,
+        brands=load_dictionary(spark, options.brands) if options.brands else NOT_GIVEN,
     )
     print(outcome)

@@ -253,7 +253,7 @@ def _split() -> dict[str, str]:
 
 def _model() -> dict[str, str]:
     wide = f"first_batch AS ({_wide_batch(fixture.WIDE_FIRST_SQL)}), second_batch AS ({_wide_batch(fixture.WIDE_SECOND_SQL)})"
-    latest_norm = "(SELECT hash_veiculo FROM norm WHERE report_period = 202506)"
+    latest_norm = "(SELECT hash_veiculo FROM norm)"
     return {
         "vehicle_hash3": _base("SELECT DISTINCT marca, modelo, ano_fabricacao, hash_veiculo FROM norm"),
         "vehicle_hash10": f"SELECT source_code, year, {_H10} AS hash_veiculo FROM ({fixture.WIDE_FIRST_SQL}) w",
@@ -273,11 +273,14 @@ def _model() -> dict[str, str]:
         ),
         "dim_upsert": _base(f"SELECT {_DIM_COLUMNS} FROM dim"),
         "fact_upsert": _base(
-            """SELECT hash_veiculo, uf, frota, id_raw FROM cells WHERE report_period IN (202501, 202506)
+            """SELECT hash_veiculo, uf, frota, id_raw FROM cells
                QUALIFY row_number() OVER (PARTITION BY hash_veiculo, uf ORDER BY report_period DESC) = 1"""
         ),
-        "wide_upsert": f"""WITH {wide} SELECT * FROM second_batch UNION ALL
+        "wide_upsert": f"""WITH {wide} SELECT * FROM second_batch
+            QUALIFY row_number() OVER (PARTITION BY hash_veiculo ORDER BY excel_row) = 1 UNION ALL
             SELECT * FROM first_batch WHERE hash_veiculo NOT IN (SELECT hash_veiculo FROM second_batch)""",
+        "merge_guard": f"""WITH {wide} SELECT hash_veiculo, count(*) AS n FROM second_batch
+            GROUP BY hash_veiculo HAVING count(*) > 1""",
         "change_log": _base(
             """SELECT hash_veiculo, CASE WHEN fresh THEN 'INSERT' ELSE 'UPDATE' END AS action, column_name,
                old_value, new_value,
@@ -349,7 +352,7 @@ def _quality() -> dict[str, str]:
     }
     missing = {f"null_{c}": f"{c} IS NULL" for c in _RAW_CELLS.split(", ")}
     reconciled = """
-staged AS (SELECT DISTINCT hash_veiculo FROM norm WHERE report_period = 202506),
+staged AS (SELECT DISTINCT hash_veiculo FROM norm),
 sides AS (SELECT s.hash_veiculo IS NOT NULL AS l, d.hash_veiculo IS NOT NULL AS r
           FROM staged s FULL JOIN dim d ON s.hash_veiculo = d.hash_veiculo)"""
     profile_columns = ("id_raw", "uf", "marca_modelo", "ano_fabricacao_veiculo_crv", "qtd_veiculos", "report_period")

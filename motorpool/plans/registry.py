@@ -2,29 +2,30 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorpool.dictionaries import STARTER_BRANDS, alias_table, inline_table
+from motorpool.dictionaries import STARTER_BRANDS, alias_table
 from motorpool.functions import makemodel as mm
 from motorpool.functions.numbers import decimal_comma, is_period, truncated_int
 from motorpool.functions.text import blank_to_null, clean_cell, normalize_text
 from motorpool.operators import catalogue, quality, reports
 from motorpool.operators.brands import dictionary_from_catalogue, dictionary_table, match_by_join
-from motorpool.operators.keys import dense_ids
+from motorpool.operators.keys import bucket_count, dense_ids
 from motorpool.operators.normalize import (
     apply_aliases, normalize, parse_rows, split_make_model, typed_rows, valid_brands,
 )
-from motorpool.operators.upsert import change_payload, changes, upsert
+from motorpool.operators.upsert import change_payload, changes, repeated_keys, upsert
 from motorpool.operators.vehicles import (
     attach_ids, distinct_hashes, fleet_cells, lookup_ids, vehicle_dim, with_catalogue_hash, with_vehicle_hash,
 )
 from motorpool.plans import fixture
 from motorpool.plans.scenario import scenario, stored_raw
-from motorpool.schemas import DIM, DIM_ATTRIBUTES, FACT, NORM, RAW
-from motorpool.session import scratch_path, settle
+from motorpool.schemas import DIM, DIM_ATTRIBUTES, FACT, LOAD_LOG, NORM, RAW, WIDE_KEY
+from motorpool.session import scratch_path, settle, settle_counted
 from motorpool.sources.delimited import missing_to_null, read_delimited, read_records, list_inputs, write_delimited
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,14 +298,14 @@ def attach_vehicle_id(spark, sf):
 @query
 def vehicle_lookup(spark, sf):
     house = scenario(spark, sf).warehouse
-    hashes = distinct_hashes(house.read(NORM, SCAN_PERIOD))
+    hashes = distinct_hashes(house.read(NORM))
     return lookup_ids(hashes, house.read(DIM)).select("hash_veiculo")
 
 
 @query
 def surrogate_keys(spark, sf):
-    dim = settle(vehicle_dim(_norm(spark, sf)), "dim")
-    keyed = dense_ids(dim, "hash_veiculo", "id_veiculo", start=100)
+    dim, rows = settle_counted(vehicle_dim(_norm(spark, sf)), "dim")
+    keyed = dense_ids(dim, "hash_veiculo", "id_veiculo", start=100, buckets=bucket_count(rows))
     return keyed.agg(
         F.count(F.lit(1)).alias("n"), F.count_distinct("id_veiculo").alias("n_ids"),
         F.min("id_veiculo").alias("first_id"), F.max("id_veiculo").alias("last_id"),
@@ -322,9 +323,9 @@ def dim_upsert(spark, sf):
 def fact_upsert(spark, sf):
     cells = settle(fleet_cells(_norm(spark, sf)), "cells")
     keys, values = ["hash_veiculo", "uf"], ["frota", "id_raw"]
-    older = cells.where("report_period = 202501").select(*keys, *values)
-    newer = cells.where("report_period = 202506").select(*keys, *values)
-    return upsert(older, newer, keys, values)
+    periods = [r.report_period for r in cells.select("report_period").distinct().orderBy("report_period").collect()]
+    batches = [cells.where(F.col("report_period") == p).select(*keys, *values) for p in periods]
+    return functools.reduce(lambda stored, batch: upsert(stored, batch, keys, values), batches)
 
 
 @query
@@ -333,6 +334,12 @@ def wide_upsert(spark, sf):
     return catalogue.merge_wide(first, _sql(fixture.WIDE_SECOND_SQL)(spark, sf))
 
 
+@query
+def merge_guard(spark, sf):
+    """Keys that the second wide batch repeats, as a merge would refuse them."""
+    return repeated_keys(catalogue.wide_rows(_sql(fixture.WIDE_SECOND_SQL)(spark, sf)), [WIDE_KEY])
+
+
 @query
 def change_log(spark, sf):
     house = scenario(spark, sf).warehouse
@@ -350,13 +357,8 @@ def change_history(spark, sf):
 
 @query
 def stage_counts(spark, sf):
-    rows = [
-        (o.period, stage, o.counts[stage])
-        for o in scenario(spark, sf).outcomes
-        for stage in ("raw", "norm", "vehicles_inserted", "vehicles_updated", "facts")
-    ]
-    counts = inline_table(spark, rows, ("report_period", "stage", "n"))
-    return counts.select("report_period", "stage", F.col("n").cast("bigint").alias("n"))
+    """Counts of every load, as the job stored them."""
+    return scenario(spark, sf).warehouse.read(LOAD_LOG).select("report_period", "stage", "n")
 
 
 def _by_hash(pair: tuple[DataFrame, DataFrame]) -> DataFrame:
@@ -512,7 +514,7 @@ def dq_profile(spark, sf):
 @query
 def dq_reconcile(spark, sf):
     house = scenario(spark, sf).warehouse
-    staged = distinct_hashes(house.read(NORM, SCAN_PERIOD))
+    staged = distinct_hashes(house.read(NORM))
     return quality.reconcile(staged, house.read(DIM))
 
 

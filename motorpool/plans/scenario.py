@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from motorpool.dictionaries import STARTER_BRANDS
 from motorpool.plans.fixture import vehicle_raw
 from motorpool.plans.job import Outcome, run
 from motorpool.schemas import INPUT_COLUMNS
@@ -70,7 +71,8 @@ def _build(spark: SparkSession, sf_dir: str) -> Scenario:
     prefix = f"mp_{root.rsplit('-', 1)[-1][:8]}_"
     periods = write_inputs(stored_raw(spark, sf_dir), f"{root}/input")
     outcomes = [
-        run(spark, root, f"{root}/input", period=p, multi_file=True, prefix=prefix) for p in periods
+        run(spark, root, f"{root}/input", period=p, multi_file=True, prefix=prefix, brands=STARTER_BRANDS)
+        for p in periods
     ]
     warehouse = Warehouse(spark, root, prefix)
     publication = Publication(warehouse)

@@ -102,6 +102,12 @@ AUDIT = Contract("core", "audit_dim_veiculo_detran", (
     Field("report_period", "int"),
     Field("dim_version", "int", required=True),
 ), partition="dim_version")
+LOAD_LOG = Contract("core", "load_log", (
+    Field("stage", "string", required=True),
+    Field("n", "bigint", required=True),
+    Field("logged_at", "timestamp_ntz"),
+    PERIOD,
+), partition="report_period")
 PUBLISHED_DIM = Contract("analytics", "dim_veiculo_detran", _DIM_FIELDS)
 PUBLISHED_FACT = Contract("analytics", "fato_frota_uf", _FACT_FIELDS, partition="report_period")
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from motorpool.dictionaries import NA_TOKENS
@@ -66,23 +66,37 @@ def _bare(path: str) -> str:
     return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
 
 
-def inspect(spark: SparkSession, paths: Sequence[str]) -> dict[Reading, list[str]]:
+def _opens_quote(text: str, separator: str) -> Column:
+    """True if a quote at the start of a cell is not closed within `text`; quotes inside cells don't count."""
+    edge = re.escape(separator)
+    closed = rf'(?s)(^|{edge}|[\r\n])"(?:[^"]++|"")*+"(?={edge}|[\r\n]|$)'
+    # A closed cell keeps the separator in front of it, so that the next cell still starts after one.
+    rest = F.regexp_replace(text, closed, "$1")
+    return rest.rlike(rf'(^|{edge}|[\r\n])"')
+
+
+def inspect(spark: SparkSession, paths: Sequence[str], separator: str = SEPARATOR) -> dict[Reading, list[str]]:
     """Files by the way they must be read, from one parallel pass over their lines.
 
-    A file with a line that is not UTF-8 is Latin-1; a line with an odd number of quotes may open a
-    cell that goes on in the next line.
+    A file with a line that is not UTF-8 is Latin-1; in a line that opens a quote at the start of a cell and does
+    not close it, the cell goes on in the next line. Such a file is read as a whole, and has to close its last one.
     """
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     lines = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("file"),
         (~F.is_valid_utf8("value")).alias("broken"),
-        (quotes % 2 == 1).alias("open"),
+        _opens_quote("value", separator).alias("open"),
     )
     marks = lines.where("broken OR open").groupBy("file").agg(F.bool_or("broken"), F.bool_or("open")).collect()
     found = {unquote(_bare(m[0])): Reading("ISO-8859-1" if m[1] else "UTF-8", m[2]) for m in marks}
     groups: dict[Reading, list[str]] = {}
     for path in paths:
         groups.setdefault(found.get(_bare(path), Reading()), []).append(path)
+    whole = [p for how, ps in groups.items() if how.multi_line for p in ps]
+    if whole:
+        texts = spark.read.text(whole, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+        broken = [unquote(_bare(r.file)) for r in texts.where(_opens_quote("value", separator)).select("file").collect()]
+        if broken:
+            raise ValueError(f"a quoted cell is not closed before the end of {', '.join(sorted(broken))}")
     return groups
 
 
@@ -112,7 +126,7 @@ def read_delimited(
             raise FileNotFoundError(path)
         if not path.lower().endswith(tuple(suffixes)):
             raise ValueError(f"expected {' or '.join(suffixes)}, got {path}")
-    groups = {reading: paths} if reading else inspect(spark, paths)
+    groups = {reading: paths} if reading else inspect(spark, paths, separator)
     headers = {
         tuple(spark.read.options(**_options(how, separator)).csv(p).columns) for how, ps in groups.items() for p in ps
     }

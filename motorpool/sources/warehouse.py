@@ -8,7 +8,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from motorpool.schemas import AUDIT, DIM, FACT, NORM, RAW, Contract, conform
+from motorpool.dictionaries import inline_table
+from motorpool.schemas import AUDIT, DIM, FACT, LOAD_LOG, NORM, RAW, Contract, conform
+from motorpool.session import settle
 from motorpool.sources import files
 
 KEEP_DIM_VERSIONS = 2
@@ -66,7 +68,7 @@ class Warehouse:
 
     def ensure(self) -> None:
         """Create schemas and tables that do not exist yet and attach stored partitions."""
-        for contract in (RAW, NORM, DIM, FACT, AUDIT):
+        for contract in (RAW, NORM, DIM, FACT, AUDIT, LOAD_LOG):
             location = self.location(contract)
             files.make_dirs(self.spark, location)
             schema = f"{self.prefix}{contract.schema}"
@@ -96,7 +98,8 @@ class Warehouse:
     def read(self, contract: Contract, period: int | None = None) -> DataFrame:
         """The table, or one period of it: a partition filter that reaches the file listing."""
         location = self.location(contract)
-        files.make_dirs(self.spark, location)
+        if not files.exists(self.spark, location):
+            raise FileNotFoundError(f"no table {contract.name} in {self.root}")
         rows = self.spark.read.schema(contract.struct).parquet(location)
         if period is None or contract.partition is None:
             return rows
@@ -124,15 +127,17 @@ class Warehouse:
         touch a period without new rows, so those are cleared afterwards.
         """
         seen = Observation(f"{contract.name}_write")
-        checked = conform(rows, contract).observe(
+        own = F.col(contract.partition)
+        foreign = F.raise_error(F.concat(F.lit(f"{contract.name}: row of another period than {sorted(periods)}: "), own))
+        # Checked inside the write, so a foreign row stops it before anything is swapped.
+        kept = F.when(own.isin(*periods), own).otherwise(foreign.cast("int"))
+        checked = conform(rows, contract).withColumn(contract.partition, kept).observe(
             seen, F.count(F.lit(1)).alias("rows"), F.collect_set(contract.partition).alias("periods")
         )
         writer = checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(contract.partition).parquet(self.folder(contract))
         result = seen.get
         filled = set(result["periods"] or ())
-        if not filled <= set(periods):
-            raise ValueError(f"wrote periods {sorted(filled)}, expected only {sorted(periods)}")
         for period in set(periods) - filled:
             self._clear(contract, period)
         self._refresh(contract)
@@ -150,23 +155,37 @@ class Warehouse:
                 self._clear(contract, period)
             self._refresh(contract)
 
-    def replace_dim(self, rows: DataFrame) -> int:
-        """Write the dimension as a new version, then move the pointer to it."""
-        current = self.dim_version()
-        seen = Observation("dim_write")
-        checked = conform(rows, DIM).observe(seen, F.count(F.lit(1)).alias("rows"))
-        checked.write.mode("overwrite").parquet(f"{self.folder(DIM)}/v={current + 1}")
-        files.replace_json(self.spark, self._pointer(), {"version": current + 1})
-        files.drop(self.spark, f"{self.folder(DIM)}/v={current + 1 - KEEP_DIM_VERSIONS}")
+    def write_dim(self, rows: DataFrame) -> int:
+        """Write the dimension as the version after the current one; readers do not see it yet."""
+        version = self.dim_version() + 1
+        conform(rows, DIM).write.mode("overwrite").parquet(f"{self.folder(DIM)}/v={version}")
+        return version
+
+    def switch_dim(self, version: int) -> None:
+        """Make a written version current."""
+        files.replace_json(self.spark, self._pointer(), {"version": version})
+        files.drop(self.spark, f"{self.folder(DIM)}/v={version - KEEP_DIM_VERSIONS}")
         self._refresh(DIM)
-        return seen.get["rows"] or 0
+
+    def log_counts(self, period: int, counts: dict[str, int]) -> None:
+        """Keep what the phases of a run counted; phases that did not run keep their last count."""
+        if not counts:
+            return
+        rows = inline_table(self.spark, counts.items(), ("stage", "n"))
+        fresh = rows.withColumns({"n": F.col("n").cast("bigint"), "logged_at": now_literal(), "report_period": F.lit(period)})
+        older = self.read(LOAD_LOG, period).join(rows.select("stage"), "stage", "left_anti")
+        # Read and replaced in one go, so what stays is settled first.
+        self.replace_periods(settle(older.select(*LOAD_LOG.columns).union(fresh.select(*LOAD_LOG.columns)), "log"), LOAD_LOG, [period])
 
     def history(self) -> DataFrame:
         """Every recorded attribute change with the vehicle it belongs to as it is now."""
         now = self.read(DIM).select("hash_veiculo", "id_veiculo", "marca", "modelo", "ano_fabricacao")
-        return self.read(AUDIT).join(now, "hash_veiculo")
+        # A version above the current one is a load that did not finish.
+        log = self.read(AUDIT).where(F.col("dim_version") <= self.dim_version())
+        return log.join(now, "hash_veiculo")
 
     def previous_dim(self) -> DataFrame:
         location = f"{self.folder(DIM)}/v={self.dim_version() - 1}"
-        files.make_dirs(self.spark, location)
+        if not files.exists(self.spark, location):
+            return self.read(DIM).limit(0)
         return self.spark.read.schema(DIM.struct).parquet(location)

@@ -54,6 +54,20 @@ def test_files_of_both_encodings_and_line_breaks_in_quotes(spark, tmp_path):
     ]
 
 
+def test_quotes_inside_cells_keep_a_file_splittable(spark, tmp_path):
+    put(tmp_path, "a.csv", HEADER + 'SP;FORD/F 15" X;2010;5\nRJ;"A;""B""/C";2011;6\nMG;FORD/KA";2012;7\n')
+    paths = delimited.list_inputs(spark, str(tmp_path))
+    assert list(delimited.inspect(spark, paths)) == [delimited.Reading()]
+    assert [(r.uf, r.marca_modelo) for r in load(spark, tmp_path)] == [("SP", 'FORD/F 15" X'), ("RJ", 'A;"B"/C'), ("MG", 'FORD/KA"')]
+
+
+@pytest.mark.parametrize("tail", ['RJ;"FORD/KA;2011;6\nMG;FORD/KA;2012;7\n', 'RJ;"A\nB";1;1\nMG;"C;2012;7\nAC;D;1;1\n'])
+def test_a_quote_left_open_stops_the_load(spark, tmp_path, tail):
+    put(tmp_path, "a.csv", HEADER + "SP;FORD/KA;2010;5\n" + tail)
+    with pytest.raises(ValueError, match="not closed"):
+        load(spark, tmp_path)
+
+
 def test_token_match_is_exact(spark, tmp_path):
     put(tmp_path, "a.csv", HEADER + "NULL;A/B;1;1\n NULL;A/B;1;1\nNull;A/B;1;1\n")
     assert [r.uf for r in load(spark, tmp_path)] == [None, "NULL", "Null"]

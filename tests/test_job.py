@@ -5,8 +5,9 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+from motorpool.dictionaries import STARTER_BRANDS
 from motorpool.plans.job import load_core, phase_range, run
-from motorpool.schemas import DIM, FACT, NORM, RAW, conform
+from motorpool.schemas import DIM, FACT, LOAD_LOG, NORM, RAW, conform
 from motorpool.sources.publish import Publication
 from motorpool.sources.warehouse import Warehouse
 
@@ -26,6 +27,7 @@ class Site:
         self.house = Warehouse(spark, f"{base}/house", self.prefix)
 
     def run(self, **options):
+        options = {"brands": STARTER_BRANDS, **options}
         return run(self.spark, f"{self.base}/house", f"{self.base}/input", prefix=self.prefix, **options)
 
     def facts(self):
@@ -140,7 +142,8 @@ def test_a_failing_load_keeps_the_stored_period(site):
     put(site.base, 202501, [*FIRST, "SP;" + "X" * 101 + ";2010;1"])
     with pytest.raises(Exception, match="longer than 100"):
         site.run()
-    assert site.house.read(RAW).count() == 5
+    assert site.house.read(RAW).count() == site.house.read(NORM).count() == 5
+    assert len(site.facts()) == 3
     # The next load still gives out fresh numbers.
     put(site.base, 202506, SECOND)
     site.run(period=202506)
@@ -148,6 +151,55 @@ def test_a_failing_load_keeps_the_stored_period(site):
     assert raw.count() == raw.select("id_raw").distinct().count() == 7
 
 
+def test_change_log_survives_a_failure_between_its_write_and_the_switch(site, monkeypatch):
+    put(site.base, 202501, FIRST)
+    put(site.base, 202506, SECOND)
+    site.run(period=202501)
+    before = site.house.history().count()
+
+    def broken(self, version):
+        raise OSError("gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(Warehouse, "switch_dim", broken)
+        with pytest.raises(OSError):
+            site.run(period=202506)
+    # The log of the version that never became current is not shown, and the vehicles are the old ones.
+    assert site.house.history().count() == before and len(site.vehicles()) == 2
+    site.run(period=202506, start="core")
+    assert [r.old_value for r in site.house.history().where("action = 'UPDATE'").collect()] == ["VW/GOL"]
+    assert len(site.vehicles()) == 3
+
+
+def test_rows_of_another_period_stop_the_write(site):
+    put(site.base, 202501, FIRST)
+    site.run()
+    rows = site.house.read(NORM).withColumn("report_period", F.lit(202502))
+    with pytest.raises(Exception, match="another period"):
+        site.house.replace_periods(rows, NORM, [202501])
+    assert site.house.read(NORM, 202501).count() == 5 and site.house.read(NORM, 202502).count() == 0
+
+
+def test_normalizing_needs_a_dictionary(site, spark):
+    put(site.base, 202501, FIRST)
+    with pytest.raises(ValueError, match="brand dictionary"):
+        run(spark, f"{site.base}/house", f"{site.base}/input", prefix=site.prefix)
+
+
+def test_load_log_keeps_the_last_count_of_each_phase(site):
+    put(site.base, 202501, FIRST)
+    site.run()
+    site.run(start="core")
+    log = {r.stage: r.n for r in site.house.read(LOAD_LOG, 202501).collect()}
+    assert log == {"raw": 5, "norm": 5, "facts": 3, "vehicles_inserted": 0, "vehicles_updated": 2}
+
+
+def test_a_missing_root_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        Warehouse(spark, f"{tmp_path}/typo").read(NORM)
+    assert not (tmp_path / "typo").exists()
+
+
 def test_updated_at_policy(site):
     put(site.base, 202501, FIRST)
     site.run()

@@ -115,6 +115,8 @@ def test_dictionary_sources(spark, tmp_path):
     path = tmp_path / "brands.txt"
     path.write_text("FORD\n\nBMW \nFORD\n", encoding="utf-8")
     assert load_dictionary(spark, str(path)) == ("FORD", "BMW")
+    path.write_text("\n".join(f"B{i}" for i in range(5001)), encoding="utf-8")
+    assert load_dictionary(spark, str(path)).count() == 5001
     with pytest.raises(ValueError):
         checked_brands(["FORD", "IMP"])
     assert brand_names(dictionary_table(spark, ["B", "A", "B"])) == ("A", "B")

@@ -101,6 +101,13 @@ def test_upsert(spark):
     assert {r.k: r.id for r in merged.collect()} == {"a": 1, "b": 2, "c": 3, "d": 8}
 
 
+def test_a_merge_with_ids_refuses_a_repeated_key(spark):
+    target = spark.createDataFrame([(1, "a", 1)], "id long, k string, v int")
+    source = spark.createDataFrame([("b", 2), ("b", 3)], "k string, v int")
+    with pytest.raises(ValueError, match="repeats key"):
+        upsert_with_ids(target, source, "k", ["v"], "id", 1)
+
+
 def test_upsert_on_several_keys_and_unique_source(spark):
     target = spark.createDataFrame([(1, "SP", 5), (1, "RJ", 6)], "k int, uf string, n int")
     source = spark.createDataFrame([(1, "RJ", 7), (2, "SP", 8)], "k int, uf string, n int")
