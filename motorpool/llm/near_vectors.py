@@ -2,10 +2,11 @@
 
 Vectors of equal label are linked when their cosine reaches a threshold. Centroids are fitted on a bounded sample;
 every vector has the cell of its nearest centroid as home. A link may cross cells, so a vector is also a guest in
-each cell it could have a partner in: unit vectors x and y with homes c and d satisfy <x, c - d> >= 0 and
-<y, d - c> >= 0, hence their distance is at least <x, c - d> / |c - d|; beyond the distance that the threshold
-allows there is no partner. Homes are compared with homes and guests of their cell in blocks, which loses no link
-and counts each once for either side. Equal vectors are one entry with a count. Blocks answer with sums and
+near cells: unit vectors x and y with homes c and d satisfy <x, c - d> >= 0 and <y, d - c> >= 0, hence y - x spans
+at least the margin <x, c - d> / |c - d| along c - d. With a margin of the whole distance that the threshold allows
+(`reach` 1) no link can be lost; but in many dimensions a difference lies along one given direction to a small part
+only, so the default takes part of it, which spares most copies and is measured against brute force in the tests.
+Homes are compared with homes and guests of their cell in blocks, which counts each link once for either side. Equal vectors are one entry with a count. Blocks answer with sums and
 spanning forests, never with all pairs.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from motorpool.llm.common import fresh_name, local_roots
 from motorpool.llm.components import components
-from motorpool.llm.vectors import blocks, packed, to_matrix, unpacked, usable
+from motorpool.llm.vectors import blocks, few_rows_a_batch, kept_type, packed, to_matrix, unpacked, usable
 from motorpool.session import settle
 
 COSINE = 0.93
@@ -30,7 +31,9 @@ SAMPLE = 20_000
 #: Vectors to a cell that are aimed at, and cells at most.
 CELL_ROWS = 2000
 MAX_CELLS = 256
-BLOCK_ROWS = 1024
+BLOCK_ROWS = 512
+#: Share of the largest distance of a link that a link may span across a cell border.
+REACH = 0.35
 #: Links a task gathers before it thins them out to a forest.
 PENDING = 200_000
 
@@ -54,24 +57,24 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 15, seed: int = 0) ->
     return np.unique(c, axis=0)
 
 
-def _cells(entries: DataFrame, centroids: np.ndarray, dims: int, cosine: float) -> DataFrame:
+def _cells(entries: DataFrame, centroids: np.ndarray, dims: int, cosine: float, share: float) -> DataFrame:
     """(part, id, vector, extra): extra is the entry's count at home, and minus its count as a guest."""
-    reach = math.sqrt(2 - 2 * cosine) + 1e-9
+    reach = share * math.sqrt(2 - 2 * cosine) + 1e-9
     apart = np.linalg.norm(centroids[:, None] - centroids[None], axis=2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = unit(to_matrix(batch.column(2), dims))
-            near = x @ centroids.T
+            raw = to_matrix(batch.column(2), dims)
+            near = unit(raw) @ centroids.T
             home = near.argmax(1)
-            guest = near[np.arange(len(x)), home][:, None] - near <= reach * apart[home]
+            guest = near[np.arange(len(raw)), home][:, None] - near <= reach * apart[home]
             row, cell = np.nonzero(guest)
             label = np.array(batch.column(1).to_pylist(), object)
             part = [f"{a}/{c}" for a, c in zip(label[row], cell)]
             count = batch.column(3).to_numpy()[row]
-            flat = pa.array(x[row].ravel())
+            flat = pa.array(raw[row].ravel())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1) * dims, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.string()), batch.column(0).take(pa.array(row)), lists, pa.array(np.where(cell == home[row], count, -count))],
@@ -82,7 +85,7 @@ def _cells(entries: DataFrame, centroids: np.ndarray, dims: int, cosine: float)
     return own.mapInArrow(run, "part string, id long, vector array<double>, extra long")
 
 
-def _products(pairs: DataFrame, cosine: float) -> DataFrame:
+def _products(pairs: DataFrame, cosine: float, kind: str) -> DataFrame:
     """(id, other, links): a number of links of `id`, and another entry of its component (or null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,12 +101,13 @@ def _products(pairs: DataFrame, cosine: float) -> DataFrame:
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                ids, x, count = unpacked(*row[:3])
-                others, y, weight = unpacked(*row[3:])
+                ids, x, count = unpacked(*row[:3], kind)
                 home = count > 0
-                ids, x = ids[home], x[home]
-                if not len(ids):
+                if not home.any():
                     continue
+                ids, x = ids[home], unit(x[home])
+                others, y, weight = unpacked(*row[3:], kind)
+                y = unit(y)
                 hit = (x @ y.T >= cosine) & (ids[:, None] != others[None])
                 for i, n in zip(ids.tolist(), (hit @ np.abs(weight)).tolist()):
                     if n:
@@ -129,7 +133,9 @@ def _products(pairs: DataFrame, cosine: float) -> DataFrame:
     return pairs.mapInArrow(run, "id long, other long, links long")
 
 
-def near_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", column: str = "embedding", label: str = "label") -> DataFrame:
+def near_vectors(
+    vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", column: str = "embedding", label: str = "label", reach: float = REACH
+) -> DataFrame:
     """key, n_links, component_id, kept: one row per row.
 
     Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do those with a null
@@ -154,10 +160,12 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id"
         sample = entries.orderBy(F.xxhash64("h1", "h2", F.lit("fit"))).limit(SAMPLE).select("vector").toPandas()["vector"]
         fitted = unit(np.stack(sample.to_numpy()).astype(np.float64))
         centroids = spherical_kmeans(fitted, min(MAX_CELLS, math.ceil(n / CELL_ROWS)))
-        dealt = settle(blocks(_cells(entries, centroids, dims, cosine), dims, BLOCK_ROWS), "blocks")
+        kind = kept_type(vectors, column)
+        dealt = settle(blocks(_cells(entries, centroids, dims, cosine, reach), dims, BLOCK_ROWS, kind), "blocks")
         other = dealt.select("part", *(F.col(c).alias(f"{c}2") for c in ("ids", "vectors", "extra")))
         pairs = dealt.join(other, "part").select("ids", "vectors", "extra", "ids2", "vectors2", "extra2")
-        found = settle(_products(pairs, cosine), "found")
+        with few_rows_a_batch(vectors.sparkSession, 2 * BLOCK_ROWS * (dims * 8 + 16)):
+            found = settle(_products(pairs, cosine, kind), "found")
     else:
         found = entries.sparkSession.createDataFrame([], "id long, other long, links long")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))

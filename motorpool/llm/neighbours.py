@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorpool.llm.vectors import blocks, first_rows, packed, to_matrix, unpacked, usable
+from motorpool.llm.vectors import blocks, few_rows_a_batch, first_rows, kept_type, packed, to_matrix, unpacked, usable
 from motorpool.session import settle
 
 NEAREST = 10
@@ -168,7 +168,7 @@ def _dealt(entries: DataFrame, model: Classifier, dims: int, visits: int) -> Dat
     return entries.select("id", "vector", F.lit(0).cast("long").alias("extra")).mapInArrow(run, "part string, id long, vector array<double>, extra long")
 
 
-def _reranked(pairs: DataFrame, k: int) -> DataFrame:
+def _reranked(pairs: DataFrame, k: int, kind: str) -> DataFrame:
     """(query, id, distance): the nearest entries of each pair of blocks, at most k for a query and task but for ties."""
 
     def best(query: np.ndarray, entry: np.ndarray, distance: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -186,8 +186,8 @@ def _reranked(pairs: DataFrame, k: int) -> DataFrame:
         rows = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                ids, x, _ = unpacked(*row[:3])
-                asks, q, _ = unpacked(*row[3:])
+                ids, x, _ = unpacked(*row[:3], kind)
+                asks, q, _ = unpacked(*row[3:], kind)
                 d = np.maximum((q**2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * (q @ x.T), 0)
                 kth = np.partition(d, min(k, d.shape[1]) - 1, axis=1)[:, min(k, d.shape[1]) - 1]
                 # room for the rounding of this form; the exact one decides
@@ -231,12 +231,15 @@ def nearest(vectors: DataFrame, is_query, k: int = NEAREST, key: str = "vec_id",
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = entries.orderBy(F.xxhash64("h1", "h2", F.lit("fit"))).limit(SAMPLE).select("vector").toPandas()["vector"]
     model, visits = fit(np.stack(sample.to_numpy()).astype(np.float64))
-    base = settle(blocks(_dealt(entries, model, dims, 1), dims, BASE_ROWS), "base")
+    kind = kept_type(vectors, column)
+    base = settle(blocks(_dealt(entries, model, dims, 1), dims, BASE_ROWS, kind), "base")
     asking = _dealt(entries.where("asks"), model, dims, visits)
-    queries = settle(blocks(asking, dims, QUERY_ROWS), "queries").select("part", *(F.col(c).alias(f"{c}2") for c in ("ids", "vectors", "extra")))
+    queries = settle(blocks(asking, dims, QUERY_ROWS, kind), "queries").select("part", *(F.col(c).alias(f"{c}2") for c in ("ids", "vectors", "extra")))
     pairs = base.join(queries, "part").select("ids", "vectors", "extra", "ids2", "vectors2", "extra2")
     # an entry has at least one key, so the k + 1 nearest entries hold the k nearest other keys
-    near = first_rows(_reranked(pairs, k + 1).join(entries.select("id", F.col("keys")[0].alias("least")), "id"), ["query"], ["distance", "least"], k + 1)
+    with few_rows_a_batch(spark, (BASE_ROWS + QUERY_ROWS) * (dims * 8 + 16)):
+        ranked = settle(_reranked(pairs, k + 1, kind), "ranked")
+    near = first_rows(ranked.join(entries.select("id", F.col("keys")[0].alias("least")), "id"), ["query"], ["distance", "least"], k + 1)
     spread = near.join(entries.select("id", "keys"), "id").select("query", "distance", F.explode("keys").alias("vec_id"))
     short = first_rows(spread, ["query"], ["distance", "vec_id"], k + 1)
     answers = settle(short.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("distance", "vec_id"))).alias("near")), "answers")

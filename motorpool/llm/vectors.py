@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -32,11 +35,33 @@ def first_rows(df: DataFrame, keys: list[str], order: list[str], n: int) -> Data
     return df.withColumn("row_number_", F.row_number().over(at)).where(F.col("row_number_") <= n).drop("row_number_")
 
 
+#: Bytes of blocks that Spark hands to a Python worker at a time.
+BATCH_BYTES = 24 << 20
+
+
+def kept_type(vectors: DataFrame, column: str) -> str:
+    """The type that holds the components as they are: float where they are floats, else double."""
+    return "<f4" if vectors.schema[column].dataType.simpleString() == "array<float>" else "<f8"
+
+
+@contextlib.contextmanager
+def few_rows_a_batch(spark: SparkSession, row_bytes: int) -> Iterator[None]:
+    """Rows of whole blocks are large: let Arrow batches hold few of them while an action runs inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(1, BATCH_BYTES // max(1, row_bytes))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 BLOCKS = "part string, ids binary, vectors binary, extra binary"
 
 
-def blocks(df: DataFrame, dims: int, rows: int) -> DataFrame:
-    """(part, id long, vector array<double>, extra long) as rows of up to `rows` vectors of one part each.
+def blocks(df: DataFrame, dims: int, rows: int, kind: str) -> DataFrame:
+    """(part, id long, vector array<double>, extra long) as rows of up to `rows` vectors of one part each, with
+    components of type `kind`.
 
     Sorting is within the tasks' own rows: a part of any size is many blocks, in as many tasks as hold its rows.
     """
@@ -55,7 +80,7 @@ def blocks(df: DataFrame, dims: int, rows: int) -> DataFrame:
         for batch in batches:
             parts = np.array(batch.column(0).to_pylist(), object)
             ids, extra = batch.column(1).to_numpy(), batch.column(3).to_numpy()
-            vectors = to_matrix(batch.column(2), dims)
+            vectors = to_matrix(batch.column(2), dims).astype(kind)
             edges = [0, *(np.flatnonzero(parts[1:] != parts[:-1]) + 1), len(parts)] if len(parts) else [0]
             for s, e in zip(edges, edges[1:]):
                 if kept and (parts[s] != part or sum(len(k[0]) for k in kept) >= rows):
@@ -69,6 +94,6 @@ def blocks(df: DataFrame, dims: int, rows: int) -> DataFrame:
     return df.select("part", "id", "vector", F.col("extra").cast("long")).sortWithinPartitions("part").mapInArrow(run, BLOCKS)
 
 
-def unpacked(ids: bytes, vectors: bytes, extra: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def unpacked(ids: bytes, vectors: bytes, extra: bytes, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = np.frombuffer(ids, np.int64)
-    return ids, np.frombuffer(vectors, np.float64).reshape(len(ids), -1), np.frombuffer(extra, np.int64)
+    return ids, np.frombuffer(vectors, kind).reshape(len(ids), -1).astype(np.float64), np.frombuffer(extra, np.int64)
