@@ -43,9 +43,11 @@ def maximal(turns: DataFrame) -> DataFrame:
 
 
 def segment() -> Column:
-    """One turn as marked-up text. A marker inside a text is broken by a space; a null role is `unknown`."""
+    """One turn as marked-up text. Markers inside a role or text are broken by a space; a null role is `unknown`."""
     body = F.replace(F.coalesce("text", F.lit("")), F.lit("<|"), F.lit("< |"))
-    role = F.replace(F.coalesce("role", F.lit("unknown")), F.lit("|>"), F.lit("| >"))
+    role = F.coalesce("role", F.lit("unknown"))
+    for mark, broken in (("<|", "< |"), ("|>", "| >")):
+        role = F.replace(role, F.lit(mark), F.lit(broken))
     return F.concat(F.lit("<|"), role, F.lit("|>\n"), body, F.lit("<|end|>\n"))
 
 
@@ -68,7 +70,7 @@ ORACLE = """
 WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS pos FROM t),
 c AS (SELECT conv_id, count(*) AS n_turns, list({'r': role, 't': text} ORDER BY pos) AS turns,
-             string_agg('<|' || replace(coalesce(role, 'unknown'), '|>', '| >') || '|>' || chr(10)
+             string_agg('<|' || replace(replace(coalesce(role, 'unknown'), '<|', '< |'), '|>', '| >') || '|>' || chr(10)
                         || replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10), '' ORDER BY pos) AS rendered
       FROM o GROUP BY conv_id),
 p AS (SELECT DISTINCT list_slice(turns, 1, k) AS pre FROM (SELECT turns, unnest(range(1, n_turns)) AS k FROM c))

@@ -4,8 +4,9 @@ Vectors of equal label are linked when their cosine reaches a threshold. Centroi
 every vector has the cell of its nearest centroid as home. A link may cross cells, so a vector is also a guest in
 near cells: unit vectors x and y with homes c and d satisfy <x, c - d> >= 0 and <y, d - c> >= 0, hence y - x spans
 at least the margin <x, c - d> / |c - d| along c - d. With a margin of the whole distance that the threshold allows
-(`reach` 1) no link can be lost; but in many dimensions a difference lies along one given direction to a small part
-only, so the default takes part of it, which spares most copies and is measured against brute force in the tests.
+(`reach` 1) no link can be lost. In d dimensions a difference lies along one given direction to about 1 / sqrt(d)
+only, so the default takes DEVIATIONS times that part, which spares most copies; up to ten dimensions it is the
+whole.
 Homes are compared with homes and guests of their cell in blocks, which counts each link once for either side. Equal vectors are one entry with a count. Blocks answer with sums and
 spanning forests, never with all pairs.
 """
@@ -32,8 +33,9 @@ SAMPLE = 20_000
 CELL_ROWS = 2000
 MAX_CELLS = 256
 BLOCK_ROWS = 512
-#: Share of the largest distance of a link that a link may span across a cell border.
-REACH = 0.35
+#: Standard deviations of a difference along one direction that a link may span across a cell border; in d
+#: dimensions a deviation is 1 / sqrt(d) of the difference.
+DEVIATIONS = 3.2
 #: Links a task gathers before it thins them out to a forest.
 PENDING = 200_000
 
@@ -134,7 +136,7 @@ def _products(pairs: DataFrame, cosine: float, kind: str) -> DataFrame:
 
 
 def near_vectors(
-    vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", column: str = "embedding", label: str = "label", reach: float = REACH
+    vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", column: str = "embedding", label: str = "label", reach: float | None = None
 ) -> DataFrame:
     """key, n_links, component_id, kept: one row per row.
 
@@ -161,6 +163,7 @@ def near_vectors(
         fitted = unit(np.stack(sample.to_numpy()).astype(np.float64))
         centroids = spherical_kmeans(fitted, min(MAX_CELLS, math.ceil(n / CELL_ROWS)))
         kind = kept_type(vectors, column)
+        reach = min(1.0, DEVIATIONS / math.sqrt(dims)) if reach is None else reach
         dealt = settle(blocks(_cells(entries, centroids, dims, cosine, reach), dims, BLOCK_ROWS, kind), "blocks")
         other = dealt.select("part", *(F.col(c).alias(f"{c}2") for c in ("ids", "vectors", "extra")))
         pairs = dealt.join(other, "part").select("ids", "vectors", "extra", "ids2", "vectors2", "extra2")

@@ -1,13 +1,8 @@
-"""A session with a checkpoint folder of its own, and small documents with every kind of edge case."""
+"""Documents as tables."""
 
 import pytest
 
 
-@pytest.fixture(scope="session", autouse=True)
-def shared_folder(spark, tmp_path_factory):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 

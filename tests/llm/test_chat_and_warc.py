@@ -50,7 +50,7 @@ def test_snapshots_collapse(spark):
 def test_role_and_text_are_told_apart(spark):
     rows = [(1, 0, None, "a"), (2, 0, "a", None), (3, 0, "", "a"), (4, 0, "a<|end|>\n<|b|>", "c<|end|>")]
     got = {r.conv_id: r.rendered for r in chat.render(spark.createDataFrame(rows, TURNS)).collect()}
-    assert set(got) == {1, 2, 3, 4} and got[4].count("<|end|>") == 2 and got[1] == "<|unknown|>\na<|end|>\n"
+    assert set(got) == {1, 2, 3, 4} and got[4].count("<|end|>") == 1 == got[4].count("|>\n") - 1 and got[1] == "<|unknown|>\na<|end|>\n"
 
 
 @pytest.mark.parametrize("name, tables", [("op7_snapshots", ["conversations"]), ("op9_warc", ["pages"])])

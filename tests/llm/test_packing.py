@@ -54,13 +54,15 @@ def test_repeated_rows_and_empty_tables(docs_of):
 def test_patterns_cover_the_demand_exactly(seed):
     rng = np.random.default_rng(seed)
     demand = rng.integers(0, [1, 5, 400, 30][seed] + 1, 64) * (rng.random(64) < 0.7)
+    if seed >= 2:
+        demand[20:] = 0
     plan = packing.patterns(demand)
     made = sum((c * n for c, n in plan), np.zeros(64, np.int64))
     assert (made == demand).all()
     assert all(n > 0 and (c * np.arange(1, 65)).sum() <= 64 for c, n in plan)
     if seed >= 2:
-        least = (demand * np.arange(1, 65)).sum() / 64
-        assert sum(n for _, n in plan) <= 1.03 * least + 40
+        # small sizes leave hardly any room
+        assert sum(n for _, n in plan) <= 1.01 * (demand * np.arange(1, 65)).sum() / 64 + 3
 
 
 def test_knapsack_equals_brute_force():

@@ -11,7 +11,7 @@ SCHEMA = "vec_id long, embedding array<float>, label int"
 
 def odd_rows():
     inf, nan = float("inf"), float("nan")
-    return [(9000, None, 1), (9100, [0.0] * 6, 1), (9200, [1.0, None, 0, 0, 0, 0], 1), (9300, [inf] * 6, 1), (9400, [nan] * 6, 1), (9500, [1.0, 2.0], 1), (9600, [], 1)]
+    return [(9000, None, 1), (9100, [0.0] * 6, 1), (9200, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1), (9300, [inf] * 6, 1), (9400, [nan] * 6, 1), (9500, [1.0, 2.0], 1), (9600, [], 1)]
 
 
 def cloud(n, seed=0, dims=6):
