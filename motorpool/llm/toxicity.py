@@ -9,7 +9,8 @@ squared hinge loss is trained; because the kernel is an inner product, the machi
 
 Labels say whether a text is toxic, not which word is, so training alternates (multiple-instance learning): the
 best word of each toxic text is its witness, words of other texts are negatives, the hardest ones first. A text's
-decision is that of its worst word; a logistic curve turns it into a score.
+decision is that of its worst word; a logistic curve turns it into a score, together with the number of distinct
+words, since the worst of many clean words looks worse than that of few.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ TRAIN_ROWS = 5000
 TRAIN_CHARS = 8000
 LANDMARKS = 256
 NEGATIVES = 6000
-ROUNDS = 5
+ROUNDS = 4
 #: Offsets of the later characters from the first.
 GAPS = ((1, 2), (1, 3), (2, 3), (2, 4), (1, 4), (3, 4), (1, 2, 3), (2, 3, 4), (1, 3, 4), (1, 2, 4), (2, 4, 6))
 DECAY = 0.6
@@ -101,6 +102,18 @@ def dense(words: list[str], columns: np.ndarray, width: int) -> np.ndarray:
     return out / norms(words)[:, None]
 
 
+def kernel(words: list[str], columns: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Kernel values of words against landmarks; `marks` has a row for each numbered subsequence."""
+    out = np.zeros((len(words), marks.shape[1]))
+    for word, h, decay in features(words):
+        c = columns[h]
+        word, c = word[c >= 0], c[c >= 0]
+        if len(word):
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            out[word[first]] += decay * np.add.reduceat(marks[c], first)
+    return out / norms(words)[:, None]
+
+
 def squared_hinge(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
     """Weights, the last one the bias, of a linear machine in the primal, by Newton steps on the active rows."""
     z = np.c_[z, np.ones(len(z))]
@@ -120,17 +133,19 @@ def squared_hinge(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float =
 
 @dataclass
 class Model:
-    """Weight of each hashed subsequence, and the logistic curve over the worst word's decision."""
+    """Weight of each hashed subsequence, and the logistic curve over the worst word's decision and log words."""
 
     weights: np.ndarray
     slope: float
+    length: float
     shift: float
 
     def words(self, words: list[str]) -> np.ndarray:
         return project(words, self.weights)
 
-    def score(self, decision: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * decision + self.shift, -30, 30)))
+    def score(self, described: np.ndarray) -> np.ndarray:
+        total = self.slope * described[:, 0] + self.length * described[:, 1] + self.shift
+        return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
 def train(texts: list[str], y: np.ndarray, seed: int = 0) -> Model:
@@ -138,7 +153,7 @@ def train(texts: list[str], y: np.ndarray, seed: int = 0) -> Model:
     size = 1 << HASH_BITS
     if not len(y) or y.min() == y.max():
         share = float(np.mean(y)) if len(y) else 0.0
-        return Model(np.zeros(size), 0.0, 30.0 if share == 1 else -30.0)
+        return Model(np.zeros(size), 0.0, 0.0, 30.0 if share == 1 else -30.0)
     rng = np.random.default_rng(seed)
     bags = [sorted(words_of(t)) for t in texts]
     index: dict[str, int] = {}
@@ -183,33 +198,34 @@ def train(texts: list[str], y: np.ndarray, seed: int = 0) -> Model:
         good = e > 1e-6 * e.max()
         root = (v[:, good] / np.sqrt(e[good]))
         rows = [words[i] for i in np.r_[witness, negative]]
-        kernel = np.concatenate([dense(rows[s : s + 1000], columns, len(own)) @ basis.T for s in range(0, len(rows), 1000)])
+        marked = np.ascontiguousarray(basis.T)
+        against = np.concatenate([kernel(rows[s : s + 1000], columns, marked) for s in range(0, len(rows), 1000)])
         sign = np.r_[np.ones(len(witness)), -np.ones(len(negative))]
         cost = np.r_[np.minimum(times, 20.0), np.minimum(seen[0][negative], 20.0)]
         cost = np.where(sign > 0, cost / cost[sign > 0].sum(), cost / max(1e-9, cost[sign < 0].sum())) * len(rows) / 10
-        w = squared_hinge(kernel @ root, sign, cost)
+        w = squared_hinge(against @ root, sign, cost)
         weights = np.zeros(size)
         weights[own] = basis.T @ (root @ w[:-1])
         value = np.concatenate([project(words[s : s + 20_000], weights) for s in steps])
     decision = np.zeros(len(bags))
     np.maximum.at(decision, doc, value[flat])
-    slope, shift = logistic(decision, y)
-    return Model(weights, slope, shift)
+    slope, length, shift = logistic(np.c_[decision, np.log1p([len(b) for b in bags])], y)
+    return Model(weights, max(0.0, slope), min(0.0, length), shift)
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve, with targets drawn in from 0 and 1."""
+def logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
+    """Slopes and shift of a logistic curve, with targets drawn in from 0 and 1."""
     ones = y.sum()
     target = np.where(y == 1, (ones + 1) / (ones + 2), 1 / (len(y) - ones + 2))
     a = np.c_[x, np.ones(len(x))]
-    w = np.zeros(2)
+    w = np.zeros(a.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p) + 1e-9)[:, None]).T @ a + 1e-6 * np.eye(2), a.T @ (target - p) - 1e-6 * w)
+        step = np.linalg.solve((a * (p * (1 - p) + 1e-9)[:, None]).T @ a + 1e-6 * np.eye(len(w)), a.T @ (target - p) - 1e-6 * w)
         w = w + step
         if np.abs(step).max() < 1e-8:
             break
-    return float(max(0.0, w[0])), float(w[1])
+    return w.tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
@@ -220,8 +236,9 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
 
 
 def decisions(texts: list[bytes | None], model: Model, known: dict[str, float]) -> np.ndarray:
-    """The worst word's decision of each text, at least 0; `known` remembers words."""
-    out = np.zeros(len(texts))
+    """For each text the worst word's decision, at least 0, and the log of its number of distinct words (plus 1);
+    `known` remembers words."""
+    out = np.zeros((len(texts), 2))
     for s, e in doc_groups(texts, 2 << 20):
         bags = [words_of((t or b"").decode("utf-8", "replace")) for t in texts[s:e]]
         if len(known) > CACHE_WORDS:
@@ -230,17 +247,18 @@ def decisions(texts: list[bytes | None], model: Model, known: dict[str, float])
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
             known.update(zip(part, model.words(part).tolist()))
-        out[s:e] = [max(0.0, max(map(known.__getitem__, b), default=0.0)) for b in bags]
+        out[s:e, 0] = [max(0.0, max(map(known.__getitem__, b), default=0.0)) for b in bags]
+        out[s:e, 1] = np.log1p([len(b) for b in bags])
     return out
 
 
 def _shared(spark, model: Model):
     """The model for tasks; its size is that of the hash table, whatever the data."""
-    return spark.sparkContext.broadcast((model.weights.astype(np.float32), model.slope, model.shift))
+    return spark.sparkContext.broadcast((model.weights.astype(np.float32), model.slope, model.length, model.shift))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """`docs` (doc_id, text) as (doc_id, score). Null and empty texts have no word and get the curve's lowest score."""
+    """`docs` (doc_id, text) as (doc_id, score). Null and empty texts have no word and the decision 0."""
     shared = _shared(docs.sparkSession, model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
