@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,18 @@ def numbered(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return settle(df.withColumn(name, F.monotonically_increasing_id()), label), name
 
 
+def located(df: DataFrame) -> tuple[DataFrame, str] | None:
+    """`df` with each row's place in its file as an id, and that column's name; None if it is no scan of files.
+
+    It spares the copy that `numbered` makes. Behind a join or union places may repeat: the caller has to check.
+    """
+    name = fresh_name(df, "row_id")
+    try:
+        return df.withColumn(name, F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))), name
+    except AnalysisException:
+        return None
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

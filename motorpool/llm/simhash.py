@@ -24,9 +24,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from motorpool.llm.common import local_roots, numbered, partitions, ranges, utf8
+from motorpool.llm.common import local_roots, located, numbered, partitions, ranges, utf8
 from motorpool.llm.components import components
-from motorpool.session import settle
+from motorpool.session import settle, settle_counted
 
 SHINGLE_WORDS = 4
 LINK_BITS = 4
@@ -62,17 +62,17 @@ def fingerprint_of(text: bytes | None, words: int = SHINGLE_WORDS) -> int:
     return int.from_bytes(np.packbits(votes * 2 > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(key, fp long) per row. A null text counts as empty; the fingerprint of an empty text is 0."""
+def fingerprints(docs: DataFrame, keys: tuple[str, ...] = ("doc_id",), text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
+    """(keys, fp long) per row. A null text counts as empty; the fingerprint of an empty text is 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = utf8(batch.column(1))
+            texts = utf8(batch.column(len(keys)))
             fp = np.fromiter((fingerprint_of(t, words) for t in texts), np.uint64, len(texts)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["key", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keys)], pa.array(fp)], names=[*keys, "fp"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).mapInArrow(run, f"key {kind}, fp long")
+    kinds = "".join(f"`{k}` {docs.schema[k].dataType.simpleString()}, " for k in keys)
+    return docs.select(*keys, F.col(text).cast("string")).mapInArrow(run, f"{kinds}fp long")
 
 
 def masks(n: int, bits: int = LINK_BITS) -> list[int]:
@@ -142,8 +142,8 @@ def linked(fp: np.ndarray, top: np.ndarray, bits: int = LINK_BITS) -> np.ndarray
 def fingerprint_links(fps: DataFrame, bits: int = LINK_BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Links (a, b) whose components are those of all pairs of `fps.fp` within `bits` bits."""
     spark = fps.sparkSession
-    own = settle(fps.select("fp").distinct(), "fingerprints")
-    tops = F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(np.uint64(m).view(np.int64).item())).alias("pattern")) for i, m in enumerate(masks(own.count(), bits))])
+    own, n = settle_counted(fps.select("fp").distinct(), "fingerprints")
+    tops = F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(np.uint64(m).view(np.int64).item())).alias("pattern")) for i, m in enumerate(masks(n, bits))])
     keyed = own.select("fp", F.explode(tops).alias("x")).select("fp", "x.mask", "x.pattern")
     large = settle(keyed.groupBy("mask", "pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows), "large")
     blocks = F.coalesce(F.ceil(F.col("n") / block_rows).cast("int"), F.lit(1))
@@ -171,34 +171,38 @@ def fingerprint_links(fps: DataFrame, bits: int = LINK_BITS, block_rows: int = B
     return grouped.repartition(partitions(spark), "top").mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", words: int = SHINGLE_WORDS, bits: int = LINK_BITS) -> DataFrame:
-    """(key, fp long, root long) per row; rows of one root are linked, directly or through others.
-
-    Null and empty texts have fingerprint 0 and link like any other. Repeated rows are rows of one fingerprint.
-    An empty input gives an empty result.
-    """
-    marked = settle(fingerprints(docs, key, words=words), "marked")
+def with_roots(marked: DataFrame, bits: int = LINK_BITS) -> DataFrame:
+    """Rows with a fingerprint `fp`, plus `root`; rows of one root are linked, directly or through others."""
     roots = settle(components(fingerprint_links(marked, bits)), "roots")
-    return (
-        marked.join(roots, marked["fp"] == roots["node"], "left")
-        .select("key", "fp", F.coalesce("root", "fp").alias("root"))
-    )
+    joined = marked.join(roots, marked["fp"] == roots["node"], "left")
+    return joined.select(*marked.columns, F.coalesce("root", "fp").alias("root"))
 
 
 def near_duplicate_report(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = LINK_BITS) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the component; nulls don't count)."""
-    found = settle(near_duplicates(docs, "doc_id", words, bits), "found")
-    least = settle(found.groupBy("root").agg(F.min("key").alias("component_id")), "least")
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id of the component; nulls don't count).
+
+    Null and empty texts have fingerprint 0 and link like any other. Repeated rows are rows of one fingerprint.
+    An empty input gives an empty result.
+    """
+    found = settle(with_roots(settle(fingerprints(docs, words=words), "marked"), bits), "found")
+    least = settle(found.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     return found.join(least, "root").select(
-        F.col("key").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
 def drop_near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = LINK_BITS) -> DataFrame:
     """`docs` with one row of each component: the smallest doc_id, null ids last, repeated rows by row order."""
-    stored, row = numbered(docs, "dedup")
-    found = settle(near_duplicates(stored, row, words, bits), "found")
-    ids = stored.select(F.col(row).alias("key"), "doc_id")
-    first = F.struct(F.col("doc_id").isNull(), "doc_id", "key")
-    keep = settle(found.join(ids, "key").groupBy("root").agg(F.min_by("key", first).alias(row)).select(row), "keep")
-    return stored.join(keep, row, "left_semi").drop(row)
+    known = located(docs)
+    if known:
+        own, row = known
+        marked, n = settle_counted(fingerprints(own, (row, "doc_id"), words=words), "marked")
+        if marked.select(row).distinct().count() < n:
+            known = None
+    if not known:
+        own, row = numbered(docs, "dedup")
+        marked = settle(fingerprints(own, (row, "doc_id"), words=words), "marked")
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    keep = settle(with_roots(marked, bits).groupBy("root").agg(F.min_by(row, first).alias(row)).select(row), "keep")
+    # one row per component: it grows with the documents, so it is never broadcast
+    return own.join(keep.hint("merge"), row, "left_semi").drop(row)

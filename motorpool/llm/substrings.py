@@ -257,7 +257,8 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW_WORDS, text: str = "t
     buckets = partitions(spark)
     texts = docs.select(*text_key(text), F.col(text).cast("string").alias("text")).where("text IS NOT NULL")
     shared = settle(_meetings(_anchors(texts, window, buckets), 4), "anchors")
-    near = texts.join(shared, ["a", "b"])
+    # both tables of places grow with the documents, so they are never broadcast
+    near = texts.join(shared.hint("merge"), ["a", "b"])
     return settle(_meetings(_windows(near, window, buckets), 12), "windows")
 
 
@@ -280,7 +281,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, text: str = "tex
     a, b, places = fresh_name(docs, "key_a"), fresh_name(docs, "key_b"), fresh_name(docs, "places")
     key = text_key(text)
     own = docs.withColumns({a: key[0], b: key[1], text: F.col(text).cast("string")})
-    joined = own.join(found.select(F.col("a").alias(a), F.col("b").alias(b), F.col("places").alias(places)), [a, b], "left").drop(a, b)
+    joined = own.join(found.select(F.col("a").alias(a), F.col("b").alias(b), F.col("places").alias(places)).hint("merge"), [a, b], "left").drop(a, b)
     at = joined.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from motorpool.llm.common import doc_groups, held_out, labelled_sample, utf8
 
 #: Labelled texts trained on at most, and the length up to which a text serves for training.
-TRAIN_ROWS = 5000
-TRAIN_CHARS = 8000
+TRAIN_ROWS = 4000
+TRAIN_CHARS = 6000
 LANDMARKS = 256
 NEGATIVES = 6000
 ROUNDS = 4

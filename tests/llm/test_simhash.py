@@ -93,13 +93,19 @@ def test_a_hot_top_node_is_cut_into_blocks(spark):
     assert set(got) == {f for f in fps if f != 2**62 + 3} | ({2**62 + 3}) and set(got.values()) == {0}
 
 
-def test_one_row_of_each_group_stays(docs_of, spark):
+def test_one_row_of_each_group_stays(docs_of, spark, tmp_path):
     long = " ".join(f"w{i}" for i in range(90))
     docs = docs_of([long, long, "other words here", None, "", long], ids=[7, 3, 5, 9, 8, 3])
     docs = docs.withColumns({"row_id": F.lit("x"), "fp": F.lit(1), "root": F.lit(2)})
     kept = simhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [3, 5, 8]
+    # the same rows as a scan of files, and as one scan twice
+    path = str(tmp_path / "docs")
+    docs.write.parquet(path)
+    stored = spark.read.parquet(path)
+    for frame in (stored, stored.union(stored), stored.where("doc_id IS NOT NULL OR true")):
+        assert sorted(r.doc_id for r in simhash.drop_near_duplicates(frame).collect()) == [3, 5, 8]
     empty = docs.limit(0)
     assert simhash.drop_near_duplicates(empty).count() == 0
     assert simhash.near_duplicate_report(empty).count() == 0
