@@ -12,7 +12,10 @@ MAX_BUCKETS = 65_536
 
 
 def bucket_count(rows: int) -> int:
-    """Buckets for `rows` keys: even tasks, and never more buckets than one task can add up."""
+    """Buckets for `rows` keys: even tasks, and never more buckets than one task can add up.
+
+    Beyond MAX_BUCKETS times ROWS_PER_BUCKET keys (16 billion) buckets grow, and with them the sort of a task.
+    """
     return max(8, min(MAX_BUCKETS, rows // ROWS_PER_BUCKET))
 
 
@@ -65,9 +68,12 @@ def number_records(*scans: DataFrame) -> tuple[DataFrame, int]:
     splits = stored.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first")
     )
-    starts = _running_start(splits, ["_file", "_block"], "_size")
+    # Two levels: files are summed first, so the one running sum without a partition sees a row per file.
+    per_file = splits.groupBy("_file").agg(F.sum("_size").alias("_size"))
+    file_starts = _running_start(per_file, ["_file"], "_size").select("_file", F.col("start").alias("_before"))
     in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = starts.withColumn("file_start", F.coalesce(F.sum("_size").over(in_file), F.lit(0)))
+    starts = splits.withColumn("file_start", F.coalesce(F.sum("_size").over(in_file), F.lit(0)))
+    starts = starts.join(file_starts, "_file").withColumn("start", F.col("_before") + F.col("file_start"))
     # One row per split; settled, so the planner broadcasts it only if it is small enough. A split is
     # at most maxPartitionBytes of text, so the shuffle join beyond that has even keys.
     starts = settle(starts.select("_file", "_block", "_first", "start", "file_start"), "splits")

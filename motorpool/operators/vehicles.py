@@ -43,10 +43,11 @@ def fleet_cells(norm: DataFrame) -> DataFrame:
     Rows of one vehicle are summed before anything is joined to them, so no later join sees a vehicle
     more often than it has states.
     """
+    sums = F.sum("frota").alias("frota"), F.max("id_raw").alias("id_raw")
     placed = norm.where(F.col("uf").isNotNull())
-    return with_vehicle_hash(placed).groupBy("report_period", "hash_veiculo", "uf").agg(
-        F.sum("frota").alias("frota"), F.max("id_raw").alias("id_raw")
-    )
+    # By the hashed columns first: the hash is then made once a vehicle and state, not once a row.
+    cells = placed.groupBy("report_period", "marca", "modelo", "ano_fabricacao", "uf").agg(*sums)
+    return with_vehicle_hash(cells).groupBy("report_period", "hash_veiculo", "uf").agg(*sums)
 
 
 def attach_ids(rows: DataFrame, dim: DataFrame) -> DataFrame:

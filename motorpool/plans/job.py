@@ -132,7 +132,7 @@ def run(
     warehouse = Warehouse(spark, root, prefix)
     warehouse.ensure()
     outcome = Outcome(report_period)
-    with scratch_scope(spark):
+    with warehouse.exclusive(), scratch_scope(spark):
         if "raw" in phases:
             records, total = load_period(spark, folder, multi_file=multi_file, reading=reading)
             outcome.counts["raw"] = load_raw(warehouse, records, total, report_period)

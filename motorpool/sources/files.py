@@ -6,6 +6,7 @@ import json
 import uuid
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -50,6 +51,21 @@ def drop(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
+def create(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a file that must not exist yet; False if it does. Atomic where the file system is."""
+    fs, target = _locate(spark, path)
+    fs.mkdirs(target.getParent())
+    try:
+        stream = fs.create(target, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName() or fs.exists(target):
+            return False
+        raise
+    stream.write(bytearray(text.encode("utf-8")))
+    stream.close()
+    return True
+
+
 def read_json(spark: SparkSession, path: str) -> dict | None:
     fs, target = _locate(spark, path)
     if not fs.exists(target):

@@ -78,21 +78,42 @@ class Publication:
         schema = f"{self.warehouse.prefix}analytics"
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {schema} LOCATION '{self.root}'")
         manifest = self.manifest()
-        for contract in (PUBLISHED_DIM, PUBLISHED_FACT):
-            for which, suffix in (("current", ""), ("previous", "_prev"), ("failed", "_failed")):
+        named = (("current", ""), ("previous", "_prev"), ("failed", "_failed"))
+        contracts = (PUBLISHED_DIM, PUBLISHED_FACT)
+        for version in {manifest[which] for which, _ in named} - {None}:
+            for contract in contracts:
+                self._show_version(schema, contract, version)
+        # Names move by one statement each and never vanish in between. The manifest is what switches both tables
+        # at once; a SQL reader between two statements may see the dimension a version ahead of the fact.
+        for which, suffix in named:
+            for contract in contracts:
                 name = f"{schema}.{contract.name}{suffix}"
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
                 if manifest[which] is None:
-                    continue
-                columns = ", ".join(f.ddl for f in contract.fields)
-                parts = f" PARTITIONED BY ({contract.partition})" if contract.partition else ""
-                self.spark.sql(
-                    f"CREATE TABLE {name} ({columns}) USING parquet{parts} "
-                    f"LOCATION '{self._location(contract, manifest[which])}'"
-                )
-                add_partitions(self.spark, name, contract, self._location(contract, manifest[which]))
+                    self.spark.sql(f"DROP VIEW IF EXISTS {name}")
+                else:
+                    self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {schema}.{contract.name}_v{manifest[which]}")
+        self._forget({manifest[which] for which, _ in named}, schema)
         self._show_views(schema)
 
+    def _show_version(self, schema: str, contract: Contract, version: int) -> None:
+        """A table of its own for each version; it never changes."""
+        name, location = f"{schema}.{contract.name}_v{version}", self._location(contract, version)
+        if self.spark.catalog.tableExists(name):
+            return
+        columns = ", ".join(f.ddl for f in contract.fields)
+        parts = f" PARTITIONED BY ({contract.partition})" if contract.partition else ""
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{parts} LOCATION '{location}'")
+        add_partitions(self.spark, name, contract, location)
+
+    def _forget(self, versions: set[int | None], schema: str) -> None:
+        """Drop the tables of versions that no name shows any more; their files go by `_retain`."""
+        for contract in (PUBLISHED_DIM, PUBLISHED_FACT):
+            mark = f"{contract.name}_v"
+            for row in self.spark.sql(f"SHOW TABLES IN {schema} LIKE '{mark}*'").collect():
+                number = row.tableName.removeprefix(mark)
+                if number.isdigit() and int(number) not in versions:
+                    self.spark.sql(f"DROP TABLE IF EXISTS {schema}.{row.tableName}")
+
     def _show_views(self, schema: str) -> None:
         """Readable views: the current vehicles, and what changed on them."""
         audit, dim = (self.warehouse.sql_name(c) for c in (AUDIT, DIM))

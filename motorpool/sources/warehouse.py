@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +17,14 @@ from motorpool.sources import files
 KEEP_DIM_VERSIONS = 2
 
 
+def now_text(moment: dt.datetime | None = None) -> str:
+    moment = moment or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return moment.isoformat(sep=" ")
+
+
 def now_literal(moment: dt.datetime | None = None):
     """One instant per job, as a column."""
-    moment = moment or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+    return F.lit(now_text(moment)).cast("timestamp_ntz")
 
 
 def add_partitions(spark: SparkSession, name: str, contract: Contract, location: str) -> None:
@@ -93,6 +98,17 @@ class Warehouse:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(name)
 
+    @contextlib.contextmanager
+    def exclusive(self) -> Iterator[None]:
+        """Keep other jobs out while this one loads: two at once would give out the same numbers."""
+        lock = f"{self.root}/_loading"
+        if not files.create(self.spark, lock, now_text()):
+            raise RuntimeError(f"another job loads this warehouse; if none does, remove {lock}")
+        try:
+            yield
+        finally:
+            files.drop(self.spark, lock)
+
     # Reads
 
     def read(self, contract: Contract, period: int | None = None) -> DataFrame:

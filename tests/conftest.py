@@ -11,11 +11,12 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "motorpool-tests",
         master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g"},
+        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "6g",
+           "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

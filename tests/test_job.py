@@ -194,6 +194,32 @@ def test_load_log_keeps_the_last_count_of_each_phase(site):
     assert log == {"raw": 5, "norm": 5, "facts": 3, "vehicles_inserted": 0, "vehicles_updated": 2}
 
 
+def test_a_second_load_at_the_same_time_is_refused(site):
+    put(site.base, 202501, FIRST)
+    site.house.ensure()
+    with site.house.exclusive():
+        with pytest.raises(RuntimeError, match="another job"):
+            site.run()
+    site.run()
+    assert site.house.read(RAW).count() == 5
+
+
+def test_published_names_are_views_of_fixed_versions(site, spark):
+    put(site.base, 202501, FIRST)
+    put(site.base, 202506, SECOND)
+    site.run(period=202501)
+    site.run(period=202506)
+    name = f"{site.prefix}analytics.fato_frota_uf"
+    count = lambda suffix="": spark.sql(f"SELECT count(*) FROM {name}{suffix}").first()[0]
+    assert (count(), count("_prev"), count("_v2"), count("_v1")) == (5, 3, 5, 3)
+    publication = Publication(site.house)
+    publication.rollback()
+    assert (count(), count("_failed")) == (3, 5) and not spark.catalog.tableExists(f"{name}_prev")
+    publication.publish()
+    publication.publish()
+    assert (count(), count("_prev")) == (5, 5) and not spark.catalog.tableExists(f"{name}_v1")
+
+
 def test_a_missing_root_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         Warehouse(spark, f"{tmp_path}/typo").read(NORM)
