@@ -81,7 +81,9 @@ def mix(
     """
     if "source" not in docs.columns:
         raise ValueError("documents need a column source")
-    names = {x: fresh_name(docs, x) for x in ("tokens", "weight", "passes", "epoch", "block", "block_order", "due", "mix_key", "mix_hash", "blocks", "more", "last_hash")}
+    added = ("tokens", "weight", "passes", "epoch", "block", "block_order")
+    helpers = ("due", "mix_key", "mix_hash", "blocks", "more", "last_hash")
+    names = {x: fresh_name(docs, x) for x in added + helpers}
     due, key, own_hash, block, blocks, more_at, last = (names[x] for x in ("due", "mix_key", "mix_hash", "block", "blocks", "more", "last_hash"))
     source = F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n"))
     identity = [c for c in ("doc_id", "text") if c in docs.columns]
@@ -143,5 +145,4 @@ def mix(
     out = out.withColumn(due, times).where(F.col(due) > 0)
     out = out.withColumn(names["epoch"], F.explode(F.sequence(F.lit(0), F.col(due) - 1)))
     out = out.withColumn(names["block_order"], F.xxhash64(key, block, F.col(names["epoch"]).cast("long")))
-    added = ("tokens", "weight", "passes", "epoch", "block", "block_order")
     return out.select(*docs.columns, *(names[x] for x in added)), {x: names[x] for x in added}

@@ -7,8 +7,8 @@ at least the margin <x, c - d> / |c - d| along c - d. With a margin of the whole
 (`reach` 1) no link can be lost. In d dimensions a difference lies along one given direction to about 1 / sqrt(d)
 only, so the default takes DEVIATIONS times that part, which spares most copies; up to ten dimensions it is the
 whole.
-Homes are compared with homes and guests of their cell in blocks, which counts each link once for either side. Equal vectors are one entry with a count. Blocks answer with sums and
-spanning forests, never with all pairs.
+Homes are compared with homes and guests of their cell in blocks, which counts each link once for either side.
+Equal vectors are one entry with a count. Blocks answer with sums and spanning forests, never with all pairs.
 """
 
 from __future__ import annotations
@@ -180,7 +180,9 @@ def near_vectors(
         "placed",
     )
     least = settle(placed.groupBy("root").agg(F.min("least").alias("component_id")), "least")
-    known = settle(placed.join(least, "root").select("label_key", "h1", "h2", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "known")
+    n_links = F.coalesce("links", F.lit(0)) + F.col("n") - 1
+    known = placed.join(least, "root").select("label_key", "h1", "h2", "component_id", n_links.alias("n_links"))
+    known = settle(known, "known")
     alone = rows.where("NOT ok").select("key", F.lit(0).cast("long").alias("n_links"), F.col("key").alias("component_id"))
     linked = rows.where("ok").select("key", "label_key", "h1", "h2").join(known, ["label_key", "h1", "h2"])
     out = linked.select("key", "n_links", "component_id").union(alone)

@@ -226,7 +226,8 @@ def nearest(vectors: DataFrame, is_query, k: int = NEAREST, key: str = "vec_id",
     shape = rows.groupBy("h1", "h2").agg(F.first("vector").alias("vector"), F.max(F.coalesce("asks", F.lit(False))).alias("asks"))
     entries = settle(shape.join(listed, ["h1", "h2"]).withColumn("id", F.monotonically_increasing_id()), "entries")
     n = entries.count()
-    asked = settle(rows.where("asks").select(F.col("key").alias("query_id"), "h1", "h2").distinct().join(entries.select("h1", "h2", F.col("id").alias("query")), ["h1", "h2"]), "asked")
+    asking = rows.where("asks").select(F.col("key").alias("query_id"), "h1", "h2").distinct()
+    asked = settle(asking.join(entries.select("h1", "h2", F.col("id").alias("query")), ["h1", "h2"]), "asked")
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = entries.orderBy(F.xxhash64("h1", "h2", F.lit("fit"))).limit(SAMPLE).select("vector").toPandas()["vector"]

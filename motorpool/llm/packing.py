@@ -27,7 +27,8 @@ LENGTH = 4096
 GRAIN = 16
 END_ID = 2
 #: Words, and parts of words, whose ids a task remembers.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 400_000
+CACHE_PARTS = 200_000
 GROUP_BYTES = 1 << 20
 #: Columns priced at most; stopping early costs a little padding, never a document.
 MAX_COLUMNS = 3000
@@ -143,7 +144,7 @@ class WordEncoder:
         self.parts: dict[str, bytes] = {}
 
     def part(self, text: str) -> bytes:
-        if len(self.parts) > CACHE_WORDS:
+        if len(self.parts) > CACHE_PARTS:
             self.parts.clear()
         ids = [t.id for t in self.model.tokenize(text.lower().translate(self.table))]
         self.parts[text] = out = array("I", ids).tobytes()

@@ -143,7 +143,9 @@ def fingerprint_links(fps: DataFrame, bits: int = LINK_BITS, block_rows: int = B
     """Links (a, b) whose components are those of all pairs of `fps.fp` within `bits` bits."""
     spark = fps.sparkSession
     own, n = settle_counted(fps.select("fp").distinct(), "fingerprints")
-    tops = F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fp").bitwiseAND(F.lit(np.uint64(m).view(np.int64).item())).alias("pattern")) for i, m in enumerate(masks(n, bits))])
+    signed = [np.uint64(m).view(np.int64).item() for m in masks(n, bits)]
+    patterns = [F.col("fp").bitwiseAND(F.lit(m)).alias("pattern") for m in signed]
+    tops = F.array(*[F.struct(F.lit(i).alias("mask"), p) for i, p in enumerate(patterns)])
     keyed = own.select("fp", F.explode(tops).alias("x")).select("fp", "x.mask", "x.pattern")
     large = settle(keyed.groupBy("mask", "pattern").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block_rows), "large")
     blocks = F.coalesce(F.ceil(F.col("n") / block_rows).cast("int"), F.lit(1))

@@ -163,7 +163,8 @@ def _meetings(blobs: DataFrame, width: int) -> DataFrame:
             home = _dealt(keys["a"].view(np.uint64), n)
             order = np.argsort(home, kind="stable")
             rows = [(h, keys[order[at]].tobytes(), places[order[at]].tobytes()) for h, at in _split(home[order])]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))], names=["home", "keys", "places"])
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["home", "keys", "places"])
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [
@@ -306,6 +307,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS, text: str = "tex
             yield pa.RecordBatch.from_arrays([*columns, *added], names=fields)
 
     kinds = [T.StructField(f.name, f.dataType, True) for f in joined.schema.fields[:-1]]
-    kinds += [T.StructField(names["n_words"], T.LongType()), T.StructField(names["n_removed"], T.LongType()), T.StructField(names["kept_sha256"], T.StringType())]
+    more = {"n_words": T.LongType(), "n_removed": T.LongType(), "kept_sha256": T.StringType()}
+    kinds += [T.StructField(names[c], kind) for c, kind in more.items()]
     fields = [f.name for f in kinds]
     return joined.mapInArrow(run, T.StructType(kinds)), names

@@ -109,7 +109,9 @@ def kinds(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """
     own = pages.select(F.col("page_id"), F.col("url").cast("string"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     own = own.withColumns({"sha": F.sha1(F.col("html").cast("binary")), "size": F.octet_length("html")})
-    first = own.where(F.col("size") >= min_bytes).select("sha", "size", "page_id").groupBy("sha", "size").agg(F.max("page_id").alias("largest"), F.count(F.lit(1)).alias("n"))
+    first = own.where(F.col("size") >= min_bytes).groupBy("sha", "size").agg(
+        F.max("page_id").alias("largest"), F.count(F.lit(1)).alias("n")
+    )
     # most payloads occur once and need no partner
     shared = settle(first.where("n > 1").drop("n"), "shared")
     joined = own.join(shared, ["sha", "size"], "left")
@@ -285,7 +287,8 @@ def round_trip(pages: DataFrame, min_bytes: int = 0, root: str | None = None) ->
     back = read_archives(index, uri)
     place = ["archive", "offset", "length"]
     joined = back.join(index.select(*place, F.lit(True).alias("listed")), place, "left")
-    checked = joined.withColumn("payload_bytes", F.when(F.col("listed"), F.col("payload_bytes")).otherwise(F.raise_error(F.lit("a record is not in the index")).cast("long")))
+    unlisted = F.raise_error(F.lit("a record is not in the index")).cast("long")
+    checked = joined.withColumn("payload_bytes", F.when(F.col("listed"), F.col("payload_bytes")).otherwise(unlisted))
     number = lambda c: F.when(F.col(c) != "none", F.col(c)).cast(kind).alias(c)
     return checked.select(number("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"))
 
