@@ -105,7 +105,7 @@ WIDE_FIRST_SQL = _wide_sql("part p", "first", "CAST(p.p_size AS STRING)", "'E' |
 WIDE_SECOND_SQL = _wide_sql(
     """(SELECT l_partkey, max(l_quantity) AS q, count(*) AS n FROM lineitem GROUP BY l_partkey) s
 JOIN part p ON s.l_partkey = p.p_partkey
-JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) d ON d.k = 0 OR p.p_partkey % 5 = 0""",
+JOIN (VALUES (0, 0), (0, 1), (0, 2), (0, 3), (0, 4), (1, 0)) AS d(k, r) ON p.p_partkey % 5 = d.r""",
     "second",
     "CAST(CAST(s.q AS INT) AS STRING)",
     "CASE WHEN s.n % 2 = 0 THEN 'N' ELSE 'E' END || CAST(p.p_size AS STRING)",
