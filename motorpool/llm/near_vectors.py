@@ -2,12 +2,11 @@
 
 Vectors of equal label are linked when their cosine reaches a threshold. Centroids are fitted on a bounded sample;
 every vector has the cell of its nearest centroid as home. A link may cross cells, so a vector is also a guest in
-near cells: unit vectors x and y with homes c and d satisfy <x, c - d> >= 0 and <y, d - c> >= 0, hence y - x spans
-at least the margin <x, c - d> / |c - d| along c - d. With a margin of the whole distance that the threshold allows
-(`reach` 1) no link can be lost. In d dimensions a difference lies along one given direction to about 1 / sqrt(d)
-only, so the default takes DEVIATIONS times that part, which spares most copies; up to ten dimensions it is the
-whole.
-Homes are compared with homes and guests of their cell in blocks, which counts each link once for either side.
+near cells: unit vectors x and y with homes c and d satisfy <x, c - d> >= 0 and <y, d - c> >= 0, and these margins
+over |c - d| together are at most |x - y|. The lesser is hence at most half the distance that the threshold allows:
+with that margin one of the two is a guest at the other's home, whatever the data look like, and no link is lost.
+Homes are compared with homes and guests of their cell in blocks. Each vector carries the list of its cells, so a
+link that both homes see is counted in one of them, for both of its ends.
 Equal vectors are one entry with a count. Blocks answer with sums and spanning forests, never with all pairs.
 """
 
@@ -33,9 +32,8 @@ SAMPLE = 20_000
 CELL_ROWS = 2000
 MAX_CELLS = 256
 BLOCK_ROWS = 512
-#: Standard deviations of a difference along one direction that a link may span across a cell border; in d
-#: dimensions a deviation is 1 / sqrt(d) of the difference.
-DEVIATIONS = 3.2
+#: Cells whose flags one component holds; a float holds as many bits exactly.
+FLAGS = 16
 #: Links a task gathers before it thins them out to a forest.
 PENDING = 200_000
 
@@ -59,9 +57,18 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 15, seed: int = 0) ->
     return np.unique(c, axis=0)
 
 
+def tail(cells: int) -> int:
+    """Components behind a vector: its home, and the flags of its cells."""
+    return 1 + math.ceil(cells / FLAGS)
+
+
 def _cells(entries: DataFrame, centroids: np.ndarray, dims: int, cosine: float, share: float) -> DataFrame:
-    """(part, id, vector, extra): extra is the entry's count at home, and minus its count as a guest."""
-    reach = share * math.sqrt(2 - 2 * cosine) + 1e-9
+    """(part, id, vector, extra): extra is the entry's count at home, and minus its count as a guest.
+
+    Behind its `dims` components a vector has its home and the flags of its cells.
+    """
+    reach = share * math.sqrt(2 - 2 * cosine) / 2 + 1e-9
+    width = dims + tail(len(centroids))
     apart = np.linalg.norm(centroids[:, None] - centroids[None], axis=2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -76,8 +83,11 @@ def _cells(entries: DataFrame, centroids: np.ndarray, dims: int, cosine: float,
             label = np.array(batch.column(1).to_pylist(), object)
             part = [f"{a}/{c}" for a, c in zip(label[row], cell)]
             count = batch.column(3).to_numpy()[row]
-            flat = pa.array(raw[row].ravel())
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1) * dims, pa.int32()), flat)
+            flags = np.zeros((len(raw), (width - dims - 1) * FLAGS))
+            flags[:, : len(centroids)] = guest
+            words = flags.reshape(len(raw), -1, FLAGS) @ 2.0 ** np.arange(FLAGS)
+            flat = pa.array(np.column_stack((raw, home, words))[row].ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(row) + 1) * width, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(part, pa.string()), batch.column(0).take(pa.array(row)), lists, pa.array(np.where(cell == home[row], count, -count))],
                 names=["part", "id", "vector", "extra"],
@@ -87,7 +97,7 @@ def _cells(entries: DataFrame, centroids: np.ndarray, dims: int, cosine: float,
     return own.mapInArrow(run, "part string, id long, vector array<double>, extra long")
 
 
-def _products(pairs: DataFrame, cosine: float, kind: str) -> DataFrame:
+def _products(pairs: DataFrame, cosine: float, kind: str, dims: int) -> DataFrame:
     """(id, other, links): a number of links of `id`, and another entry of its component (or null)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,13 +117,19 @@ def _products(pairs: DataFrame, cosine: float, kind: str) -> DataFrame:
                 home = count > 0
                 if not home.any():
                     continue
-                ids, x = ids[home], unit(x[home])
+                ids, x, count = ids[home], x[home], count[home]
                 others, y, weight = unpacked(*row[3:], kind)
-                y = unit(y)
-                hit = (x @ y.T >= cosine) & (ids[:, None] != others[None])
-                for i, n in zip(ids.tolist(), (hit @ np.abs(weight)).tolist()):
-                    if n:
-                        links[i] = links.get(i, 0) + n
+                cell, cells = int(x[0, dims]), y[:, dims].astype(np.int64)
+                words = x[:, dims + 1 :].astype(np.int64)
+                back = words[:, cells // FLAGS] >> (cells % FLAGS) & 1 > 0
+                # a link that the other home sees too belongs to the lower of the two
+                mine = (cells >= cell) | ~back
+                hit = (unit(x[:, :dims]) @ unit(y[:, :dims]).T >= cosine) & (ids[:, None] != others[None]) & mine
+                guest = weight < 0
+                for who, n in (ids, hit @ np.abs(weight)), (others[guest], count @ hit[:, guest]):
+                    for i, own in zip(who.tolist(), n.tolist()):
+                        if own:
+                            links[i] = links.get(i, 0) + own
                 r, c = np.nonzero(hit)
                 if len(r):
                     # a forest of this block pair at once, so that dense groups stay small
@@ -136,7 +152,7 @@ def _products(pairs: DataFrame, cosine: float, kind: str) -> DataFrame:
 
 
 def near_vectors(
-    vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", column: str = "embedding", label: str = "label", reach: float | None = None
+    vectors: DataFrame, cosine: float = COSINE, key: str = "vec_id", column: str = "embedding", label: str = "label", reach: float = 1.0
 ) -> DataFrame:
     """key, n_links, component_id, kept: one row per row.
 
@@ -163,12 +179,12 @@ def near_vectors(
         fitted = unit(np.stack(sample.to_numpy()).astype(np.float64))
         centroids = spherical_kmeans(fitted, min(MAX_CELLS, math.ceil(n / CELL_ROWS)))
         kind = kept_type(vectors, column)
-        reach = min(1.0, DEVIATIONS / math.sqrt(dims)) if reach is None else reach
-        dealt = settle(blocks(_cells(entries, centroids, dims, cosine, reach), dims, BLOCK_ROWS, kind), "blocks")
+        width = dims + tail(len(centroids))
+        dealt = settle(blocks(_cells(entries, centroids, dims, cosine, reach), width, BLOCK_ROWS, kind), "blocks")
         other = dealt.select("part", *(F.col(c).alias(f"{c}2") for c in ("ids", "vectors", "extra")))
         pairs = dealt.join(other, "part").select("ids", "vectors", "extra", "ids2", "vectors2", "extra2")
-        with few_rows_a_batch(vectors.sparkSession, 2 * BLOCK_ROWS * (dims * 8 + 16)):
-            found = settle(_products(pairs, cosine, kind), "found")
+        with few_rows_a_batch(vectors.sparkSession, 2 * BLOCK_ROWS * (width * 8 + 16)):
+            found = settle(_products(pairs, cosine, kind, dims), "found")
     else:
         found = entries.sparkSession.createDataFrame([], "id long, other long, links long")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))

@@ -96,6 +96,19 @@ def test_near_vectors(spark, monkeypatch, cell_rows, block):
     assert kept.columns == df.columns and {r.vec_id for r in kept.collect()} == {r.vec_id for r in got if r.kept}
 
 
+def test_links_across_cells_of_low_rank_vectors(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "CELL_ROWS", 100)
+    rng = np.random.default_rng(4)
+    x = (rng.normal(size=(3000, 4)) @ rng.normal(size=(4, 64)) + 0.05 * rng.normal(size=(3000, 64))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], SCHEMA).repartition(4)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    cosines = unit @ unit.T
+    assert np.abs(cosines - 0.93).min() > 1e-12
+    expected = ((cosines >= 0.93).sum(axis=1) - 1).tolist()
+    got = {r.vec_id: r.n_links for r in near_vectors.near_vectors(df).collect()}
+    assert [got[i] for i in range(len(x))] == expected
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert near_vectors.near_vectors(df).count() == 0
