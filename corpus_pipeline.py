@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorpool.llm import jaccard, mixing, packing, substrings, toxicity
+from motorpool.llm import mixing, packing, simhash, substrings, toxicity
 from motorpool.llm.common import table
 from motorpool.llm.queries import tokenizer_file
 from motorpool.session import settle
@@ -16,11 +16,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word Jaccard similarities of at least 0.8.
-
-    SimHash at op10's 4 bits finds next to none of the links from 0.8 to 0.9, so the candidates are not its own.
-    """
-    return jaccard.drop_near_duplicates(docs)
+    """One document of each group that op10 links: its shingles of four words and limit of four bits."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

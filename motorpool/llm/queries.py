@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from motorpool.llm import chat, mixing, near_vectors, neighbours, packing, quality, simhash, substrings, toxicity, warc
+from motorpool.llm import (
+    alignment, chat, filter_audit, mixing, near_vectors, neighbours, packing, quality, sharding, simhash, substrings, toxicity, warc,
+)
 from motorpool.llm.common import table
 
 
@@ -58,6 +60,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicate_report(table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = filter_audit.mask_counts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return filter_audit.audit(counts)
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_report(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_toxicity": op2_toxicity,
@@ -69,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_spherical_cells": op8_spherical_cells,
     "op9_warc": op9_warc,
     "op10_simhash": op10_simhash,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_sharding": op12_sharding,
+    "op13_alignment": op13_alignment,
 }
 
-ORACLES: dict[str, str] = {"op7_snapshots": chat.ORACLE, "op9_warc": warc.ORACLE}
+ORACLES: dict[str, str] = {"op7_snapshots": chat.ORACLE, "op9_warc": warc.ORACLE, "op11_filter_audit": filter_audit.ORACLE}

@@ -17,7 +17,7 @@ DOCS = ["doc_id", "text", "lang", "source", "n_chars"]
 def test_operators_are_registered():
     names = entry_points.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
