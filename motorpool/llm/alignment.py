@@ -13,6 +13,7 @@ whatever stands around it, so units repeat like words and each is tokenized once
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import re
 from array import array
@@ -28,8 +29,8 @@ from motorpool.llm.common import doc_groups, ranges, utf8
 from motorpool.session import settle
 
 #: Bytes of text whose units are looked up at a time, and whose pairs are made distinct together.
-GROUP_BYTES = 1 << 20
-BLOCK_BYTES = 16 << 20
+GROUP_BYTES = 1 << 19
+BLOCK_BYTES = 8 << 20
 #: Units a task remembers, by number and by characters.
 CACHE_UNITS = 300_000
 CACHE_CHARS = 16 << 20
@@ -38,6 +39,10 @@ SPACE_MARK = "▁"
 #: White space that keeps the space behind it in the same unit.
 JOINED = re.compile(r"  |[^\S ] ")
 UNIT = re.compile(r"\s*\S+(?:[^\S ]\s*\S+)*(?:[^\S ]\s*\Z)?|\s+\Z")
+# Fixed value: the pattern that byte-level vocabularies split texts by.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Letters, digits and signs on which all versions of Unicode agree.
+SETTLED = re.compile("[\x00-\u024f\u0400-\u045f\u2010-\u2027]*")
 BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
 
 
@@ -60,7 +65,8 @@ class Vocabularies:
         self.b = SentencePieceProcessor(model_file=pieces)
         letters = byte_letters()
         with open(byte_level, encoding="utf-8") as file:
-            entries = json.load(file)["model"]["vocab"]
+            model = json.load(file)["model"]
+        entries = model["vocab"]
         self.a_bytes = [b""] * (1 + max(entries.values()))
         for entry, i in entries.items():
             if all(c in letters for c in entry):
@@ -72,9 +78,23 @@ class Vocabularies:
             if known and (known not in own or self.b.is_byte(own[known])):
                 own[known] = i
         self.same = np.array([own.get(x, -1) if x else -1 for x in self.a_bytes], np.int64)
+        self.a_size, self.b_size = (np.array([len(x) for x in known], np.int64) for known in (self.a_bytes, self.b_bytes))
+        self.space = self.b.piece_to_id(SPACE_MARK)
+        self.ranks = self._ranks(model)
         # no piece has a space behind another character, so none crosses the start of a unit
         self.cut = not any(SPACE_MARK in self.b.id_to_piece(i).lstrip(SPACE_MARK) for i in range(len(self.b_bytes)))
 
+    def _ranks(self, model: dict):
+        """The A side as ranks, which is quicker, if its ids are in the order of its merges; else None."""
+        from tiktoken import Encoding
+
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        entries = model["vocab"]
+        if any(entries[x + y] != 256 + i for i, (x, y) in enumerate(merges)):
+            return None
+        ranks = {x: i for i, x in enumerate(self.a_bytes[: 256 + len(merges)])}
+        return Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
     def _piece_bytes(self, i: int) -> bytes:
         if self.b.is_control(i) or self.b.is_unknown(i):
             return b""
@@ -92,26 +112,59 @@ class Vocabularies:
             return text.split(" ")
         return [u[1:] for u in UNIT.findall(spaced)]
 
-    def groups(self, unit: str, a: list[int], b: list[int]) -> tuple[str, list[int]] | None:
-        """The unit's groups as text, and its links as A id * size of B + B id; None if bytes differ from the unit's."""
-        told = (" " + unit).encode()
-        a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_bytes) != told or b"".join(b_bytes) != told:
-            return None
-        size, out, links = len(self.b_bytes), [], []
-        i = j = start_a = start_b = end_a = end_b = 0
-        while i < len(a):
-            if end_a <= end_b:
-                end_a += len(a_bytes[i])
-                i += 1
-            while end_b < end_a and j < len(b):
-                end_b += len(b_bytes[j])
-                j += 1
-            if end_a == end_b:
-                out.append(",".join(map(str, a[start_a:i])) + "|" + ",".join(map(str, b[start_b:j])))
-                links.append(a[i - 1] * size + b[j - 1])
-                start_a, start_b = i, j
-        return ";".join(out), links
+    def ids(self, units: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Token ids of both sides; units come without the space in front."""
+        a: list[list[int]] = [[]] * len(units)
+        slow = []
+        for i, unit in enumerate(units):
+            if self.ranks and (unit.isascii() or SETTLED.fullmatch(unit)):
+                a[i] = self.ranks.encode_ordinary(" " + unit)
+            else:
+                slow.append(i)
+        for at in range(0, len(slow), 1000):
+            part = slow[at : at + 1000]
+            for i, found in zip(part, self.a.encode_batch_fast([" " + units[i] for i in part], add_special_tokens=False)):
+                a[i] = found.ids
+        # an empty input gets no space in front
+        return a, [y or [self.space] for y in self.b.encode(units, num_threads=1)]
+
+    def groups(self, units: list[str]) -> tuple[list[str | None], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per unit: its groups as text (None if tokens do not spell it), tokens of A, of B, links; and all links."""
+        told = [(" " + u).encode() for u in units]
+        a, b = self.ids(units)
+        n_a, n_b, size = (np.fromiter(map(len, x), np.int64, len(units)) for x in (a, b, told))
+        flat_a, flat_b = (np.fromiter(itertools.chain.from_iterable(x), np.int64) for x in (a, b))
+        long_a, long_b = self.a_size[flat_a], self.b_size[flat_b]
+        unit_a, unit_b = np.repeat(np.arange(len(units)), n_a), np.repeat(np.arange(len(units)), n_b)
+        good = (np.bincount(unit_a, long_a, len(units)) == size) & (np.bincount(unit_b, long_b, len(units)) == size)
+        for i in np.flatnonzero(good).tolist() if not self._spelled(a, b, told, good) else ():
+            good[i] = self._spelled(a[i : i + 1], b[i : i + 1], told[i : i + 1], good[i : i + 1])
+        keep_a, keep_b = good[unit_a], good[unit_b]
+        flat_a, flat_b, unit_a = flat_a[keep_a], flat_b[keep_b], unit_a[keep_a]
+        # units that are spelled have as many bytes on both sides, so places of all of them together agree
+        end_a, end_b = np.cumsum(long_a[keep_a]), np.cumsum(long_b[keep_b])
+        at_a = np.flatnonzero(np.isin(end_a, end_b, assume_unique=True))
+        at_b = np.searchsorted(end_b, end_a[at_a])
+        links = flat_a[at_a] * len(self.b_bytes) + flat_b[at_b]
+        n_links = np.bincount(unit_a[at_a], minlength=len(units))
+        ids_a, ids_b = flat_a.tolist(), flat_b.tolist()
+        parts, i, j = [], 0, 0
+        for x, y in zip((at_a + 1).tolist(), (at_b + 1).tolist()):
+            if x - i == 1 and y - j == 1:
+                parts.append(f"{ids_a[i]}|{ids_b[j]}")
+            else:
+                parts.append(",".join(map(str, ids_a[i:x])) + "|" + ",".join(map(str, ids_b[j:y])))
+            i, j = x, y
+        ends = np.cumsum(n_links).tolist()
+        texts = [";".join(parts[s:e]) if ok else None for s, e, ok in zip([0, *ends], ends, good.tolist())]
+        return texts, n_a, n_b, n_links, links
+
+    def _spelled(self, a: list, b: list, told: list, good: np.ndarray) -> bool:
+        whole = b"".join(itertools.compress(told, good))
+        return all(
+            b"".join(map(known.__getitem__, itertools.chain.from_iterable(itertools.compress(ids, good)))) == whole
+            for known, ids in ((self.a_bytes, a), (self.b_bytes, b))
+        )
 
 
 class Aligner:
@@ -129,20 +182,12 @@ class Aligner:
         self.links, self.starts = array("q"), array("q", [0])
 
     def learn(self, units: list[str]) -> None:
-        w = self.words
-        a = [e.ids for e in w.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        for unit, x, y in zip(units, a, w.b.encode(units, num_threads=1)):
-            # an empty input gets no space in front
-            y = y or [w.b.piece_to_id(SPACE_MARK)]
-            found = w.groups(unit, x, y)
-            text, links = found or (None, [])
-            self.known[unit] = len(self.text)
-            self.chars += len(unit)
-            self.text.append(text)
-            self.n_a.append(len(x))
-            self.n_b.append(len(y))
-            self.links.extend(links)
-            self.starts.append(len(self.links))
+        text, n_a, n_b, n_links, links = self.words.groups(units)
+        self.known.update(zip(units, range(len(self.text), len(self.text) + len(units))))
+        self.chars += sum(map(len, units))
+        self.text += text
+        for own, more in ((self.n_a, n_a), (self.n_b, n_b), (self.starts, len(self.links) + np.cumsum(n_links)), (self.links, links)):
+            own.frombytes(more.astype(np.int64).tobytes())
 
     def align(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[str], np.ndarray]:
         """Per text: tokens of A, of B, links, hash of the groups; and all links, one text after the other."""

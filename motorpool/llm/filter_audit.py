@@ -29,6 +29,8 @@ DUPLICATE = 1 << FILTERS.index("E")
 #: Cells that a text sets, all in one word of 64; words are sized for this many cells a text.
 CELLS = 3
 CELLS_PER_TEXT = 16
+#: Words of the bitmap that marks texts to be grouped: 2^18 times 64 bits.
+MARK_WORDS = 1 << 18
 #: Bytes of one text whose words are split at a time.
 PIECE_BYTES = 1 << 20
 MIN_WORDS = 50
@@ -109,7 +111,7 @@ def sketch(flagged: DataFrame, n: int) -> tuple[DataFrame, int]:
     """(word, twice): in each word the cells that two or more texts set; and the number of words.
 
     The counts of the counting Bloom filter are kept sparse, as they are added up within tasks and then between
-    them. The rows grow with the texts that repeat; joins to them are left to the planner, which knows their size.
+    them. The rows grow with the texts that repeat. Only hashes are joined to them, never texts.
     """
     words = max(1, -(-n * CELLS_PER_TEXT // 64))
     each = flagged.select(_word(words), F.explode(F.array_distinct(F.array(*_cells()))).alias("cell"))
@@ -126,6 +128,23 @@ def possible_repeats(rows: DataFrame, twice: DataFrame, words: int) -> DataFrame
     return met.where(held).drop("word", "twice")
 
 
+def _bit() -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.col("g").bitwiseAND(F.lit(63)).cast("int"))
+
+
+def marked_rows(rows: DataFrame, maybe: DataFrame) -> DataFrame:
+    """The rows (with h, g) whose bit is set in a bitmap of the texts of `maybe`.
+
+    The bitmap has MARK_WORDS words of 64 bits at most, so it can be broadcast whatever the data, and texts without
+    a mark stay where they are. The more texts repeat, the more others share a bit with one and are grouped for
+    nothing; results don't depend on it.
+    """
+    slot = F.pmod("h", F.lit(MARK_WORDS)).alias("slot")
+    bitmap = maybe.select(slot, _bit().alias("bit")).groupBy("slot").agg(F.bit_or("bit").alias("bits"))
+    met = rows.withColumn("slot", slot).join(F.broadcast(bitmap), "slot")
+    return met.where(F.col("bits").bitwiseAND(_bit()) != 0).drop("slot", "bits")
+
+
 def repeated(docs: DataFrame, flagged: DataFrame, n: int, text: str = "text") -> DataFrame:
     """The rows of `flagged` whose text a smaller doc_id has too.
 
@@ -133,14 +152,13 @@ def repeated(docs: DataFrame, flagged: DataFrame, n: int, text: str = "text") ->
     compared whole; their hashes only bring the smallest id back to the row that has both this id and this text.
     """
     twice, words = sketch(flagged, n)
-    twice = settle(twice, "sketch")
+    maybe = settle(possible_repeats(flagged, settle(twice, "sketch"), words), "maybe")
     body = _body(text)
-    again = possible_repeats(docs.select("doc_id", body.alias("body"), *_hashes(body)), twice, words)
+    again = marked_rows(docs.select("doc_id", body.alias("body"), *_hashes(body)), maybe)
     # copies meet within their task first, so a text that very many rows share is sent once a task
     first = again.groupBy("body").agg(F.min("doc_id").alias("doc_id"), F.min("h").alias("h"), F.min("g").alias("g"))
     first = settle(first.where("doc_id IS NOT NULL").select("doc_id", "h", "g"), "firsts")
-    maybe = possible_repeats(flagged, twice, words).where("doc_id IS NOT NULL")
-    return maybe.join(first, ["doc_id", "h", "g"], "left_anti")
+    return maybe.where("doc_id IS NOT NULL").join(first, ["doc_id", "h", "g"], "left_anti")
 
 
 def with_labels(rows: DataFrame, labels: DataFrame) -> DataFrame:
