@@ -9,6 +9,8 @@ from motorpool.session import settle, settle_counted
 
 ROWS_PER_BUCKET = 250_000
 MAX_BUCKETS = 65_536
+#: Where a record stands: file, its name as part of a URL, split of the file, order within the split.
+PLACE = ("_file", "_name", "_block", "_row")
 
 
 def bucket_count(rows: int) -> int:
@@ -48,22 +50,23 @@ def dense_ids(rows: DataFrame, key: str, name: str, start: int = 0, buckets: int
 def number_records(*scans: DataFrame) -> tuple[DataFrame, int]:
     """Add file-order numbers to file scans of the same columns, and count their records.
 
-    `file_row` counts within a file, `record` across all files by path, both from 0.
+    `file_row` counts within a file, `record` across all files by path, both from 0. A scan may bring the columns
+    PLACE itself; its `_row` then has to count without gaps within a file's split.
 
     The scans are settled first, so split boundaries and numbers come from one and the same read. A
     split then needs only its own first row id and the number of records in front of it.
     """
-    columns = scans[0].columns
+    columns = [c for c in scans[0].columns if c not in PLACE]
     tagged = None
     for scan in scans:
-        located = scan.select(
+        located = scan.select(*columns, *PLACE) if PLACE[0] in scan.columns else scan.select(
             *columns,
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_name").alias("_name"),
             F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
         )
         tagged = located if tagged is None else tagged.unionByName(located)
-    tagged = tagged.withColumn("_row", F.monotonically_increasing_id())
     stored, total = settle_counted(tagged, "records")
     splits = stored.groupBy("_file", "_block").agg(
         F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first")

@@ -202,6 +202,10 @@ def _sources() -> dict[str, str]:
                               "row_number() OVER (ORDER BY o_orderkey) - 1 AS record FROM orders",
         "latin1_scan": fixture.ACCENTED_SQL,
         "delimited_round_trip": _base("SELECT id_raw, uf, marca_modelo, qtd_veiculos FROM vehicle_raw"),
+        "quoted_cells_scan": _base(
+            """SELECT id_raw, row_number() OVER (ORDER BY id_raw) - 1 AS record, uf,
+               replace(marca_modelo, '/', '/' || chr(10) || '"') AS marca_modelo FROM vehicle_raw"""
+        ),
     }
 
 

@@ -140,6 +140,18 @@ def delimited_round_trip(spark, sf):
     return records.select(F.col("id_raw").cast("bigint").alias("id_raw"), *columns[1:])
 
 
+@query
+def quoted_cells_scan(spark, sf):
+    """Make and model over two lines, the second quoted, in files that stay splittable."""
+    text = F.replace("marca_modelo", F.lit("/"), F.lit('/\n"'))
+    rows = stored_raw(spark, sf).select("id_raw", text.alias("marca_modelo"), "uf")
+    folder = scratch_path(spark, "quoted")
+    write_delimited(rows.repartitionByRange("id_raw").sortWithinPartitions("id_raw"), folder)
+    records, _ = read_records(read_delimited(spark, list_inputs(spark, folder)))
+    numbers = [F.col(c).cast("bigint").alias(c) for c in ("id_raw", "record")]
+    return records.select(*numbers, "marca_modelo", "uf")
+
+
 # Make/model split
 
 @query

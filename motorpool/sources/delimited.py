@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from motorpool.dictionaries import NA_TOKENS
 from motorpool.functions.text import clean_cell, column_slug
-from motorpool.operators.keys import number_records
+from motorpool.operators.keys import PLACE, number_records
 from motorpool.schemas import INPUT_COLUMNS
 from motorpool.sources import files
+from motorpool.sources.quoted import scan_quoted
 
 SEPARATOR = ";"
 OVERFLOW = "_overflow"
@@ -55,7 +56,7 @@ def list_inputs(spark: SparkSession, folder: str, pattern: str = "*.csv") -> lis
 
 @dataclass(frozen=True)
 class Reading:
-    """How a file is to be read. Records with line breaks inside quotes cannot be split between tasks."""
+    """How a file is to be read. Files with line breaks inside quotes take a scan of their own, `quoted`."""
 
     encoding: str = "UTF-8"
     multi_line: bool = False
@@ -79,7 +80,7 @@ def inspect(spark: SparkSession, paths: Sequence[str], separator: str = SEPARATO
     """Files by the way they must be read, from one parallel pass over their lines.
 
     A file with a line that is not UTF-8 is Latin-1; in a line that opens a quote at the start of a cell and does
-    not close it, the cell goes on in the next line. Such a file is read as a whole, and has to close its last one.
+    not close it, the cell goes on in the next line.
     """
     lines = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("file"),
@@ -91,19 +92,12 @@ def inspect(spark: SparkSession, paths: Sequence[str], separator: str = SEPARATO
     groups: dict[Reading, list[str]] = {}
     for path in paths:
         groups.setdefault(found.get(_bare(path), Reading()), []).append(path)
-    whole = [p for how, ps in groups.items() if how.multi_line for p in ps]
-    if whole:
-        texts = spark.read.text(whole, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-        broken = [unquote(_bare(r.file)) for r in texts.where(_opens_quote("value", separator)).select("file").collect()]
-        if broken:
-            raise ValueError(f"a quoted cell is not closed before the end of {', '.join(sorted(broken))}")
     return groups
 
 
 def _options(reading: Reading, separator: str) -> dict[str, str]:
     return {
         "sep": separator, "header": "true", "encoding": reading.encoding, "quote": '"', "escape": '"',
-        "multiLine": str(reading.multi_line).lower(),
     }
 
 
@@ -127,17 +121,30 @@ def read_delimited(
         if not path.lower().endswith(tuple(suffixes)):
             raise ValueError(f"expected {' or '.join(suffixes)}, got {path}")
     groups = {reading: paths} if reading else inspect(spark, paths, separator)
-    headers = {
-        tuple(spark.read.options(**_options(how, separator)).csv(p).columns) for how, ps in groups.items() for p in ps
-    }
+    plain = {how: ps for how, ps in groups.items() if not how.multi_line}
+    headers = {tuple(spark.read.options(**_options(how, separator)).csv(p).columns) for how, ps in plain.items() for p in ps}
+    quoted = {how: scan_quoted(spark, ps, how.encoding, separator) for how, ps in groups.items() if how.multi_line}
+    headers |= {_safe(header) for _, found in quoted.values() for header in found}
     if len(headers) != 1:
         raise ValueError(f"files have different headers: {sorted(headers)}")
     names = list(headers.pop())
     schema = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in [*names, OVERFLOW])
     return [
-        spark.read.options(**_options(how, separator), enforceSchema="true").schema(schema).csv(ps)
-        for how, ps in groups.items()
-    ]
+        spark.read.options(**_options(how, separator), enforceSchema="true").schema(schema).csv(ps) for how, ps in plain.items()
+    ] + [_placed(records, names) for records, _ in quoted.values()]
+
+
+def _safe(header: Sequence[str]) -> tuple[str, ...]:
+    """Header cells as column names: empty ones and repeated ones are told apart by their place."""
+    low = [h.lower() for h in header]
+    return tuple(f"_c{i}" if not h else f"{h}{i}" if low.count(h.lower()) > 1 else h for i, h in enumerate(header))
+
+
+def _placed(records: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Cells of records under their names; empty cells are NULL, as the plain scan has them."""
+    cells = [F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)]
+    over = F.when(F.size("cells") > len(names), F.get("cells", F.lit(len(names)))).alias(OVERFLOW)
+    return records.select(*cells, over, *PLACE)
 
 
 def missing_to_null(cell: str):
@@ -155,14 +162,15 @@ def validate_headers(columns: Sequence[str], required: Sequence[str] = REQUIRED_
 
 def _plain_scan(scan: DataFrame) -> tuple[DataFrame, list[str]]:
     """Cells under slug names, NULL for missing; over-full records stop the job."""
-    names = [c for c in scan.columns if c != OVERFLOW]
+    place = [c for c in PLACE if c in scan.columns]
+    names = [c for c in scan.columns if c not in (OVERFLOW, *place)]
     slugs = [column_slug(c, i) for i, c in enumerate(names)]
     if len(set(slugs)) != len(slugs):
         raise ValueError(f"headers fall together: {names}")
     message = F.raise_error(F.lit("record has more fields than the header"))
     guard = F.when(F.col(OVERFLOW).isNotNull(), message.cast("string"))
     cells = [F.coalesce(guard, missing_to_null(c)).alias(s) for c, s in zip(names, slugs)]
-    return scan.select(*cells), slugs
+    return scan.select(*cells, *place), slugs
 
 
 def read_records(scans: Sequence[DataFrame]) -> tuple[DataFrame, int]:
@@ -190,7 +198,7 @@ def load_period(
     if len(paths) > 1 and not multi_file:
         raise ValueError(f"{len(paths)} files in {folder}; pass multi_file=True to load them together")
     scans = read_delimited(spark, paths, separator, reading)
-    validate_headers([c for c in scans[0].columns if c != OVERFLOW])
+    validate_headers([c for c in scans[0].columns if c not in (OVERFLOW, *PLACE)])
     records, total = read_records(scans)
     if total == 0:
         raise ValueError(f"no records in {folder}")
