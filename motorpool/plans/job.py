@@ -72,36 +72,41 @@ def load_norm(
 
 
 def load_core(warehouse: Warehouse, period: int, touch_updated_at: bool = False) -> dict[str, int]:
-    """Merge the period's vehicles into the dimension, then replace its fact partition."""
+    """Merge the period's vehicles into the dimension and replace its fact, both visible from one commit on.
+
+    Everything is written beside what readers see: a failure before the commit leaves the old state, and the next
+    load writes the same version and its change log again.
+    """
     norm = warehouse.read(NORM, period)
     now = now_literal()
+    before = warehouse.commit_record()
+    dim = warehouse.read(DIM, record=before)
+    version, inserted = before["dim"], 0
     # Settled once: the merge reads it twice, and the written ids must match what was merged.
     vehicles, incoming = settle_counted(vehicle_dim(norm), "vehicles")
-    inserted = 0
     if incoming:
         last = warehouse.highest_id(DIM, "id_veiculo")
         merged, inserted = upsert_with_ids(
-            warehouse.read(DIM), vehicles, "hash_veiculo", DIM_ATTRIBUTES, "id_veiculo", last,
+            dim, vehicles, "hash_veiculo", DIM_ATTRIBUTES, "id_veiculo", last,
             touch={"updated_at": now} if touch_updated_at else None,
             on_insert={"created_at": now, "updated_at": now},
         )
         warehouse.record_highest_id(DIM, "id_veiculo", last + inserted)
-        before = warehouse.read(DIM)
-        version = warehouse.write_dim(merged)
+        version += 1
+        warehouse.write_dim(merged, version)
         # Compared with the incoming vehicles only: no other row of the dimension can have changed.
-        # Logged before the version becomes current: a failure in between is repaired by the next run,
-        # which writes the same version and its log again.
-        log = change_payload(changes(before, vehicles, "hash_veiculo", DIM_ATTRIBUTES))
+        log = change_payload(changes(dim, vehicles, "hash_veiculo", DIM_ATTRIBUTES))
         warehouse.replace_periods(
             log.withColumns({"changed_at": now, "report_period": F.lit(period), "dim_version": F.lit(version)}),
             AUDIT, [version],
         )
-        warehouse.switch_dim(version)
     # The highest id of a cell belongs to no other cell, so it serves as the fact's own key too.
-    fact = fleet_fact(norm, warehouse.read(DIM)).withColumns(
+    fact = fleet_fact(norm, warehouse.read(DIM, record={**before, "dim": version})).withColumns(
         {"id_fato": F.col("id_raw"), "created_at": now, "updated_at": now}
     )
-    facts = warehouse.replace_periods(fact, FACT, [period])
+    folder, facts = warehouse.write_fact(fact, period)
+    kept = {p: f for p, f in before["fact"].items() if int(p) != period}
+    warehouse.commit(before, version, kept | ({str(period): folder} if folder else {}))
     return {"vehicles_inserted": inserted, "vehicles_updated": incoming - inserted, "facts": facts}
 
 

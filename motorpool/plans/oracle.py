@@ -303,6 +303,17 @@ def _model() -> dict[str, str]:
                WHERE u.old_value IS DISTINCT FROM u.new_value""",
             _HISTORY,
         ),
+        "history_view": _base(
+            """SELECT report_period, marca, modelo, ano_fabricacao,
+               CASE WHEN fresh THEN 'INSERT' ELSE 'UPDATE' END AS action, u.column_name, u.old_value, u.new_value
+               FROM steps, LATERAL (VALUES
+                 ('marca', NULL, CASE WHEN fresh THEN marca END),
+                 ('modelo', NULL, CASE WHEN fresh THEN modelo END),
+                 ('ano_fabricacao', NULL, CASE WHEN fresh THEN CAST(ano_fabricacao AS VARCHAR) END),
+                 ('descricao_detran', before, descricao_detran)) u(column_name, old_value, new_value)
+               WHERE u.old_value IS DISTINCT FROM u.new_value""",
+            _HISTORY,
+        ),
         "stage_counts": _base(
             """SELECT report_period, 'raw' AS stage, count(*) AS n FROM vehicle_raw GROUP BY report_period
                UNION ALL SELECT report_period, 'norm', count(*) FROM norm GROUP BY report_period

@@ -367,6 +367,15 @@ def change_history(spark, sf):
     )
 
 
+@query
+def history_view(spark, sf):
+    """The change history as SQL readers see it, up to the published dimension."""
+    site = scenario(spark, sf)
+    return spark.table(f"{site.warehouse.prefix}analytics.vw_historico_alteracoes").select(
+        "report_period", "marca", "modelo", "ano_fabricacao", "action", "column_name", "old_value", "new_value"
+    )
+
+
 @query
 def stage_counts(spark, sf):
     """Counts of every load, as the job stored them."""

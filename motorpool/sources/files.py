@@ -66,6 +66,17 @@ def create(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def create_whole(spark: SparkSession, path: str, content: dict) -> bool:
+    """Make a JSON file that must not exist yet, complete from its first moment; False if it does."""
+    try:
+        _rename(spark, path, content, overwrite=False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName() or exists(spark, path):
+            return False
+        raise
+    return True
+
+
 def read_json(spark: SparkSession, path: str) -> dict | None:
     fs, target = _locate(spark, path)
     if not fs.exists(target):
@@ -79,9 +90,13 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
 
 def replace_json(spark: SparkSession, path: str, content: dict) -> None:
     """Write beside the target, then rename over it, so a reader sees the old or the new content."""
+    _rename(spark, path, content, overwrite=True)
+
+
+def _rename(spark: SparkSession, path: str, content: dict, overwrite: bool) -> None:
     fs, target = _locate(spark, path)
     fs.mkdirs(target.getParent())
-    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    beside = spark._jvm.org.apache.hadoop.fs.Path(f"{target.getParent()}/.{target.getName()}.{uuid.uuid4().hex}")
     stream = fs.create(beside, True)
     try:
         stream.write(bytearray(json.dumps(content, sort_keys=True).encode("utf-8")))
@@ -90,6 +105,10 @@ def replace_json(spark: SparkSession, path: str, content: dict) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs
     rename = getattr(hadoop, "Options$Rename")
     options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
+    options[0] = rename.OVERWRITE if overwrite else rename.NONE
     context = hadoop.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
-    context.rename(beside, fs.makeQualified(target), options)
+    try:
+        context.rename(beside, fs.makeQualified(target), options)
+    except Py4JJavaError:
+        fs.delete(beside, False)
+        raise

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import uuid
 from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,7 +15,9 @@ from motorpool.schemas import AUDIT, DIM, FACT, LOAD_LOG, NORM, RAW, Contract, c
 from motorpool.session import settle
 from motorpool.sources import files
 
-KEEP_DIM_VERSIONS = 2
+COMMITS = "_commits"
+#: Commit records that stay; their folders are those of the last two.
+KEEP_COMMITS = 2
 
 
 def now_text(moment: dt.datetime | None = None) -> str:
@@ -27,15 +30,32 @@ def now_literal(moment: dt.datetime | None = None):
     return F.lit(now_text(moment)).cast("timestamp_ntz")
 
 
-def add_partitions(spark: SparkSession, name: str, contract: Contract, location: str) -> None:
-    """Tell the catalog about the period folders of a table."""
-    if contract.partition is None:
-        return
+def listed_periods(spark: SparkSession, contract: Contract, location: str) -> dict[int, str]:
     mark = f"{contract.partition}="
-    found = [e.name[len(mark):] for e in files.listing(spark, location) if e.name.startswith(mark)]
-    if found:
-        parts = " ".join(f"PARTITION ({contract.partition}={int(v)})" for v in sorted(found))
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+    return {int(e.name[len(mark):]): e.path for e in files.listing(spark, location) if e.name.startswith(mark)}
+
+
+def show_periods(spark: SparkSession, name: str, contract: Contract, folders: dict[int, str]) -> None:
+    """Let the catalog's table `name` have just these period folders, one statement each for what differs."""
+    part = contract.partition
+    known = {int(r.partition.removeprefix(f"{part}=")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    fresh = sorted(folders.keys() - known)
+    if fresh:
+        spark.sql(f"ALTER TABLE {name} ADD " + " ".join(f"PARTITION ({part}={p}) LOCATION '{folders[p]}'" for p in fresh))
+    if contract is FACT:
+        for p in sorted(folders.keys() & known):
+            spark.sql(f"ALTER TABLE {name} PARTITION ({part}={p}) SET LOCATION '{folders[p]}'")
+    for p in sorted(known - folders.keys()):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({part}={p})")
+
+
+def read_periods(spark: SparkSession, contract: Contract, folders: dict[int, str]) -> DataFrame:
+    """Rows of period folders that may lie anywhere; the period comes from the folder, as in a partitioned table."""
+    if not folders:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in contract.struct])
+    base = folders[min(folders)].rsplit(f"/{contract.partition}=", 1)[0]
+    rows = spark.read.schema(contract.struct).option("basePath", base).parquet(*[folders[p] for p in sorted(folders)])
+    return rows.select(*contract.struct.names)
 
 
 class Warehouse:
@@ -57,18 +77,67 @@ class Warehouse:
     def folder(self, contract: Contract) -> str:
         return f"{self.root}/{contract.schema}/{contract.name}"
 
-    def _pointer(self) -> str:
-        return f"{self.folder(DIM)}/current.json"
+    def _commits(self) -> list[int]:
+        names = [e.name for e in files.listing(self.spark, f"{self.root}/core/{COMMITS}")]
+        return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
+
+    def commit_record(self, number: int | None = None) -> dict:
+        """What the core layer is as of a commit, the last one by default.
+
+        `dim` is the version of the dimension, which also bounds the change log; `fact` names the folder of each
+        period. Folders never change once a commit names them, so a reader of one record sees one state.
+        """
+        if number is None:
+            number = max(self._commits(), default=0)
+        stored = files.read_json(self.spark, self._commit_path(number)) if number else None
+        return {"number": number, **(stored or {"dim": 0, "fact": {}})}
+
+    def _commit_path(self, number: int) -> str:
+        return f"{self.root}/core/{COMMITS}/{number:08d}.json"
+
+    def commit(self, before: dict, dim: int, fact: dict[str, str]) -> dict:
+        """Make a new state of dimension, change log and fact current by one file that must not exist yet.
+
+        It fails if another load has committed since `before` was read. Folders that neither the new nor the
+        previous record names are removed afterwards; a failure there leaves files that nobody reads.
+        """
+        number = before["number"] + 1
+        if not files.create_whole(self.spark, self._commit_path(number), {"dim": dim, "fact": fact}):
+            raise RuntimeError(f"another load committed {number} in {self.root}")
+        after = self.commit_record(number)
+        for contract in (DIM, FACT):
+            self._refresh(contract)
+        self._sweep(before, after)
+        return after
+
+    def _sweep(self, *records: dict) -> None:
+        for old in self._commits()[:-KEEP_COMMITS]:
+            files.drop(self.spark, self._commit_path(old))
+        oldest = min(r["dim"] for r in records)
+        for entry in files.listing(self.spark, self.folder(DIM)):
+            if entry.name.startswith("v=") and int(entry.name[2:]) < oldest:
+                files.drop(self.spark, entry.path)
+        kept = {folder for r in records for folder in r["fact"].values()}
+        for period in files.listing(self.spark, self.folder(FACT)):
+            for entry in files.listing(self.spark, period.path) if period.is_dir else ():
+                if f"{period.name}/{entry.name}" not in kept:
+                    files.drop(self.spark, entry.path)
 
     def dim_version(self) -> int:
-        pointer = files.read_json(self.spark, self._pointer())
-        return pointer["version"] if pointer else 0
+        return self.commit_record()["dim"]
 
     def location(self, contract: Contract) -> str:
         if contract is DIM:
             return f"{self.folder(DIM)}/v={self.dim_version()}"
         return self.folder(contract)
 
+    def period_folders(self, contract: Contract, record: dict | None = None) -> dict[int, str]:
+        """Folder of each stored period."""
+        location = self.folder(contract)
+        if contract is FACT:
+            return {int(p): f"{location}/{f}" for p, f in (record or self.commit_record())["fact"].items()}
+        return listed_periods(self.spark, contract, location)
+
     # Set-up
 
     def ensure(self) -> None:
@@ -84,7 +153,8 @@ class Warehouse:
             columns = ", ".join(f.ddl for f in contract.fields)
             parts = f" PARTITIONED BY ({contract.partition})" if contract.partition else ""
             self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{parts} LOCATION '{location}'")
-            add_partitions(self.spark, name, contract, location)
+            if contract.partition:
+                show_periods(self.spark, name, contract, self.period_folders(contract))
 
     def _refresh(self, contract: Contract) -> None:
         """Let SQL see what was just written, if the table is in the catalog."""
@@ -93,17 +163,17 @@ class Warehouse:
             return
         location = self.location(contract)
         if contract.partition:
-            add_partitions(self.spark, name, contract, location)
+            show_periods(self.spark, name, contract, self.period_folders(contract))
         else:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(name)
 
     @contextlib.contextmanager
-    def exclusive(self) -> Iterator[None]:
+    def exclusive(self, work: str = "_loading") -> Iterator[None]:
         """Keep other jobs out while this one loads: two at once would give out the same numbers."""
-        lock = f"{self.root}/_loading"
+        lock = f"{self.root}/{work}"
         if not files.create(self.spark, lock, now_text()):
-            raise RuntimeError(f"another job loads this warehouse; if none does, remove {lock}")
+            raise RuntimeError(f"another job holds this warehouse; if none does, remove {lock}")
         try:
             yield
         finally:
@@ -111,9 +181,17 @@ class Warehouse:
 
     # Reads
 
-    def read(self, contract: Contract, period: int | None = None) -> DataFrame:
-        """The table, or one period of it: a partition filter that reaches the file listing."""
-        location = self.location(contract)
+    def read(self, contract: Contract, period: int | None = None, record: dict | None = None) -> DataFrame:
+        """The table, or one period of it: a partition filter that reaches the file listing.
+
+        Readers of both dimension and fact pass one commit `record` to see them as of one moment.
+        """
+        if contract is FACT:
+            if not files.exists(self.spark, self.folder(FACT)):
+                raise FileNotFoundError(f"no table {contract.name} in {self.root}")
+            folders = self.period_folders(FACT, record)
+            return read_periods(self.spark, FACT, {p: f for p, f in folders.items() if period in (None, p)})
+        location = f"{self.folder(DIM)}/v={record['dim']}" if record and contract is DIM else self.location(contract)
         if not files.exists(self.spark, location):
             raise FileNotFoundError(f"no table {contract.name} in {self.root}")
         rows = self.spark.read.schema(contract.struct).parquet(location)
@@ -142,14 +220,7 @@ class Warehouse:
         Dynamic overwrite swaps partitions at commit, so a failed job leaves the old rows. It does not
         touch a period without new rows, so those are cleared afterwards.
         """
-        seen = Observation(f"{contract.name}_write")
-        own = F.col(contract.partition)
-        foreign = F.raise_error(F.concat(F.lit(f"{contract.name}: row of another period than {sorted(periods)}: "), own))
-        # Checked inside the write, so a foreign row stops it before anything is swapped.
-        kept = F.when(own.isin(*periods), own).otherwise(foreign.cast("int"))
-        checked = conform(rows, contract).withColumn(contract.partition, kept).observe(
-            seen, F.count(F.lit(1)).alias("rows"), F.collect_set(contract.partition).alias("periods")
-        )
+        checked, seen = self._checked(rows, contract, periods)
         writer = checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(contract.partition).parquet(self.folder(contract))
         result = seen.get
@@ -159,6 +230,28 @@ class Warehouse:
         self._refresh(contract)
         return result["rows"] or 0
 
+    def _checked(self, rows: DataFrame, contract: Contract, periods: Sequence[int]) -> tuple[DataFrame, Observation]:
+        """Rows under the contract; a row of another period stops the write before anything is swapped."""
+        seen = Observation(f"{contract.name}_write")
+        own = F.col(contract.partition)
+        foreign = F.raise_error(F.concat(F.lit(f"{contract.name}: row of another period than {sorted(periods)}: "), own))
+        kept = F.when(own.isin(*periods), own).otherwise(foreign.cast("int"))
+        checked = conform(rows, contract).withColumn(contract.partition, kept).observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.collect_set(contract.partition).alias("periods")
+        )
+        return checked, seen
+
+    def write_fact(self, rows: DataFrame, period: int) -> tuple[str | None, int]:
+        """Write a period of the fact into a folder of its own, which no reader sees before a commit names it.
+
+        Returns its name, None if there are no rows, and the rows written.
+        """
+        checked, seen = self._checked(rows, FACT, [period])
+        name = f"{FACT.partition}={period}/load={uuid.uuid4().hex}"
+        checked.drop(FACT.partition).write.parquet(f"{self.folder(FACT)}/{name}")
+        written = seen.get["rows"] or 0
+        return (name if written else None), written
+
     def _clear(self, contract: Contract, period: int) -> None:
         """Empty one partition, keeping its folder."""
         folder = f"{self.folder(contract)}/{contract.partition}={period}"
@@ -171,17 +264,9 @@ class Warehouse:
                 self._clear(contract, period)
             self._refresh(contract)
 
-    def write_dim(self, rows: DataFrame) -> int:
-        """Write the dimension as the version after the current one; readers do not see it yet."""
-        version = self.dim_version() + 1
+    def write_dim(self, rows: DataFrame, version: int) -> None:
+        """Write the dimension as a version that no reader sees before a commit names it."""
         conform(rows, DIM).write.mode("overwrite").parquet(f"{self.folder(DIM)}/v={version}")
-        return version
-
-    def switch_dim(self, version: int) -> None:
-        """Make a written version current."""
-        files.replace_json(self.spark, self._pointer(), {"version": version})
-        files.drop(self.spark, f"{self.folder(DIM)}/v={version - KEEP_DIM_VERSIONS}")
-        self._refresh(DIM)
 
     def log_counts(self, period: int, counts: dict[str, int]) -> None:
         """Keep what the phases of a run counted; phases that did not run keep their last count."""
@@ -195,12 +280,14 @@ class Warehouse:
 
     def history(self) -> DataFrame:
         """Every recorded attribute change with the vehicle it belongs to as it is now."""
-        now = self.read(DIM).select("hash_veiculo", "id_veiculo", "marca", "modelo", "ano_fabricacao")
+        record = self.commit_record()
+        now = self.read(DIM, record=record).select("hash_veiculo", "id_veiculo", "marca", "modelo", "ano_fabricacao")
         # A version above the current one is a load that did not finish.
-        log = self.read(AUDIT).where(F.col("dim_version") <= self.dim_version())
+        log = self.read(AUDIT).where(F.col("dim_version") <= record["dim"])
         return log.join(now, "hash_veiculo")
 
     def previous_dim(self) -> DataFrame:
+        """The dimension as of the version before the current one."""
         location = f"{self.folder(DIM)}/v={self.dim_version() - 1}"
         if not files.exists(self.spark, location):
             return self.read(DIM).limit(0)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from motorpool.dictionaries import STARTER_BRANDS
 from motorpool.plans.job import load_core, phase_range, run
-from motorpool.schemas import DIM, FACT, LOAD_LOG, NORM, RAW, conform
+from motorpool.schemas import DIM, FACT, LOAD_LOG, NORM, PUBLISHED_DIM, PUBLISHED_FACT, RAW, conform
 from motorpool.sources.publish import Publication
 from motorpool.sources.warehouse import Warehouse
 
@@ -157,11 +157,11 @@ def test_change_log_survives_a_failure_between_its_write_and_the_switch(site, mo
     site.run(period=202501)
     before = site.house.history().count()
 
-    def broken(self, version):
+    def broken(self, *rest):
         raise OSError("gone")
 
     with monkeypatch.context() as m:
-        m.setattr(Warehouse, "switch_dim", broken)
+        m.setattr(Warehouse, "commit", broken)
         with pytest.raises(OSError):
             site.run(period=202506)
     # The log of the version that never became current is not shown, and the vehicles are the old ones.
@@ -171,6 +171,119 @@ def test_change_log_survives_a_failure_between_its_write_and_the_switch(site, mo
     assert len(site.vehicles()) == 3
 
 
+@pytest.mark.parametrize("step", ["write_dim", "replace_periods", "write_fact", "commit", "_refresh", "_sweep"])
+def test_core_readers_see_the_old_or_the_new_state(site, monkeypatch, step):
+    put(site.base, 202501, FIRST)
+    put(site.base, 202506, SECOND)
+    site.run(period=202501)
+    site.run(period=202506, stop="normalize")
+    old = site.facts(), site.house.read(DIM).count(), site.house.history().count()
+    real = getattr(Warehouse, step)
+
+    def broken(self, *rest, **options):
+        # the write itself succeeds, what follows it does not
+        out = real(self, *rest, **options)
+        raise OSError(f"gone after {step}: {out}")
+
+    with monkeypatch.context() as m:
+        m.setattr(Warehouse, step, broken)
+        with pytest.raises(OSError):
+            load_core(site.house, 202506)
+    record = site.house.commit_record()
+    seen = site.facts(), site.house.read(DIM).count(), site.house.history().count()
+    committed = step in ("commit", "_refresh", "_sweep") and record["number"] == 2
+    if not committed:
+        assert seen == old and record["number"] == 1
+    load_core(site.house, 202506)
+    new = site.facts(), site.house.read(DIM).count(), site.house.history().count()
+    assert new[1] == 3 and len(new[0]) == 5
+    if committed:
+        assert seen == new
+
+
+def test_commits_of_two_loads_do_not_overwrite_each_other(site):
+    put(site.base, 202501, FIRST)
+    site.run()
+    stale = site.house.commit_record(1) | {"number": 0}
+    with pytest.raises(RuntimeError, match="another load committed"):
+        site.house.commit(stale, 1, {})
+    assert site.house.commit_record()["number"] == 1 and len(site.facts()) == 3
+
+
+def test_fact_folders_of_older_commits_go(site):
+    put(site.base, 202501, FIRST)
+    site.run()
+    for _ in range(3):
+        load_core(site.house, 202501)
+    folder = site.base / "house/core/fato_frota_uf/report_period=202501"
+    assert len([f for f in folder.iterdir() if f.name.startswith("load=")]) == 2
+    assert len(site.facts()) == 3
+
+
+def copies(site):
+    root = site.base / "house/analytics"
+    return {str(p.relative_to(root)) for p in root.glob("*/**/v=*")}
+
+
+def test_publishing_copies_only_what_changed(site):
+    for period, lines in ((202501, FIRST), (202506, SECOND), (202507, FIRST)):
+        put(site.base, period, lines)
+        before = copies(site)
+        site.run(period=period)
+        fresh = copies(site) - before
+        assert {f.split("/v=")[0] for f in fresh} == {"dim_veiculo_detran", f"fato_frota_uf/report_period={period}"}
+    publication = Publication(site.house)
+    before = copies(site)
+    # nothing changed, so a version costs no copy; what only the version before last named is gone
+    assert publication.publish() == 4 and not copies(site) - before
+    assert publication.tables()[1].count() == publication.tables("previous")[1].count() == 8
+    put(site.base, 202506, ["SP;VW/GOL;2010;99"])
+    site.run(period=202506)
+    assert {f.split("/v=")[0] for f in copies(site) - before} == {"dim_veiculo_detran", "fato_frota_uf/report_period=202506"}
+    assert {(r.report_period, r.frota) for r in publication.tables()[1].collect() if r.report_period == 202506} == {(202506, 99)}
+    assert publication.tables("previous")[1].where("report_period = 202506").count() == 2
+    publication.rollback()
+    assert publication.tables()[1].where("report_period = 202506").count() == 2
+    assert publication.tables("failed")[1].where("report_period = 202506").count() == 1
+    kept = {f"{PUBLISHED_FACT.name}/report_period=202506", f"{PUBLISHED_DIM.name}"}
+    assert {f.split("/v=")[0] for f in copies(site)} >= kept
+
+
+def test_an_emptied_period_leaves_both_layers(site):
+    put(site.base, 202501, FIRST)
+    put(site.base, 202506, SECOND)
+    site.run(period=202501)
+    site.run(period=202506)
+    put(site.base, 202501, ["SP;NO SLASH;2010;20"])
+    site.run(period=202501)
+    assert {f[0] for f in site.facts()} == {202506}
+    assert {r.report_period for r in Publication(site.house).tables()[1].collect()} == {202506}
+    p = site.prefix
+    for schema in ("core", "analytics"):
+        assert site.spark.sql(f"SELECT count(*) FROM {p}{schema}.fato_frota_uf").first()[0] == 2
+
+
+def test_history_view_ends_at_the_published_version(site, spark):
+    put(site.base, 202501, FIRST)
+    put(site.base, 202506, SECOND)
+    site.run(period=202501)
+    view = f"{site.prefix}analytics.vw_historico_alteracoes"
+    before = spark.sql(f"SELECT count(*) FROM {view}").first()[0]
+    site.run(period=202506, stop="core")
+    assert spark.sql(f"SELECT count(*) FROM {view}").first()[0] == before
+    site.run(period=202506, start="analytics")
+    assert spark.sql(f"SELECT count(*) FROM {view}").first()[0] == site.house.history().count() > before
+
+
+def test_publishing_twice_at_once_is_refused(site):
+    put(site.base, 202501, FIRST)
+    site.run(stop="core")
+    with site.house.exclusive("_publishing"):
+        for change in (Publication(site.house).publish, Publication(site.house).rollback):
+            with pytest.raises(RuntimeError, match="another job"):
+                change()
+
+
 def test_rows_of_another_period_stop_the_write(site):
     put(site.base, 202501, FIRST)
     site.run()
