@@ -9,14 +9,14 @@ squared hinge loss is trained; because the kernel is an inner product, the machi
 
 Labels say whether a text is toxic, not which word is, so training alternates (multiple-instance learning): the
 best word of each toxic text is its witness, words of other texts are negatives, the hardest ones first. A text's
-decision is that of its worst word; a logistic curve turns it into a score, together with the number of distinct
-words, since the worst of many clean words looks worse than that of few.
+decision is that of its worst word, so what else the text says, and how much, does not lower its score; a logistic
+curve turns the decision into a score.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 
 from motorpool.llm.common import doc_groups, held_out, labelled_sample, utf8
 
-#: Labelled texts trained on at most, and the length up to which a text serves for training.
+#: Labelled texts trained on at most, about, and their bytes at most, about, in each class of lengths.
 TRAIN_ROWS = 4000
-TRAIN_CHARS = 6000
+TRAIN_BYTES = 4 << 20
 LANDMARKS = 256
 NEGATIVES = 6000
 ROUNDS = 4
@@ -36,8 +36,10 @@ ROUNDS = 4
 GAPS = ((1, 2), (1, 3), (2, 3), (2, 4), (1, 4), (3, 4), (1, 2, 3), (2, 3, 4), (1, 3, 4), (1, 2, 4), (2, 4, 6))
 DECAY = 0.6
 HASH_BITS = 20
-#: Longer words are read in overlapping pieces.
-PIECE = 24
+#: Longer words are read in overlapping pieces of that length, from each STEP-th character.
+LONG = 16
+PIECE = 12
+STEP = 3
 CACHE_WORDS = 400_000
 FACTORS = tuple(np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], np.uint64))
 
@@ -52,9 +54,9 @@ def words_of(text: str) -> set[str]:
     own.update("".join(run.split()) for run in SPACED.findall(text))
     out = {w if w.isalnum() else NOT_WORD.sub("", w) for w in own}
     out.discard("")
-    for w in [w for w in out if len(w) > PIECE]:
+    for w in [w for w in out if len(w) > LONG]:
         out.discard(w)
-        out.update(w[at : at + PIECE] for at in range(0, len(w) - PIECE // 2, PIECE // 2))
+        out.update(w[at : at + PIECE] for at in range(0, len(w) - PIECE + STEP, STEP))
     return out
 
 
@@ -133,31 +135,30 @@ def squared_hinge(z: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float =
 
 @dataclass
 class Model:
-    """Weight of each hashed subsequence, and the logistic curve over the worst word's decision and log words."""
+    """Weight of each hashed subsequence, and the logistic curve over the worst word's decision."""
 
     weights: np.ndarray
     slope: float
-    length: float
     shift: float
 
     def words(self, words: list[str]) -> np.ndarray:
         return project(words, self.weights)
 
-    def score(self, described: np.ndarray) -> np.ndarray:
-        total = self.slope * described[:, 0] + self.length * described[:, 1] + self.shift
+    def score(self, decided: np.ndarray) -> np.ndarray:
+        total = self.slope * decided + self.shift
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
-def train(texts: list[str], y: np.ndarray, seed: int = 0) -> Model:
+def train(texts: Iterable[str], y: np.ndarray, seed: int = 0) -> Model:
     """Fit on texts and their 0/1 labels. Without both classes every text gets the share of class 1."""
     size = 1 << HASH_BITS
     if not len(y) or y.min() == y.max():
         share = float(np.mean(y)) if len(y) else 0.0
-        return Model(np.zeros(size), 0.0, 0.0, 30.0 if share == 1 else -30.0)
+        return Model(np.zeros(size), 0.0, 30.0 if share == 1 else -30.0)
     rng = np.random.default_rng(seed)
-    bags = [sorted(words_of(t)) for t in texts]
     index: dict[str, int] = {}
-    flat = np.fromiter((index.setdefault(w, len(index)) for b in bags for w in b), np.int64)
+    bags = [np.array([index.setdefault(w, len(index)) for w in sorted(words_of(t))], np.int64) for t in texts]
+    flat = np.concatenate(bags)
     words = list(index)
     doc = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     seen = [np.bincount(flat[y[doc] == c], minlength=len(words)) for c in (0, 1)]
@@ -209,8 +210,8 @@ def train(texts: list[str], y: np.ndarray, seed: int = 0) -> Model:
         value = np.concatenate([project(words[s : s + 20_000], weights) for s in steps])
     decision = np.zeros(len(bags))
     np.maximum.at(decision, doc, value[flat])
-    slope, length, shift = logistic(np.c_[decision, np.log1p([len(b) for b in bags])], y)
-    return Model(weights, max(0.0, slope), min(0.0, length), shift)
+    slope, shift = logistic(decision[:, None], y)
+    return Model(weights, max(0.0, slope), shift)
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
@@ -229,16 +230,32 @@ def logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Model:
-    """Train on at most about `rows` labelled texts that are not held out and no longer than TRAIN_CHARS."""
-    own = docs.where(F.length("text") <= TRAIN_CHARS)
-    got = labelled_sample(own, labels, "toxic", rows).select("text", "y").orderBy(F.xxhash64("text")).collect()
-    return train([r["text"] for r in got], np.array([r["y"] for r in got], np.int64))
+    """Train on about `rows` labelled texts of any length that are not held out, `bounded` by their bytes."""
+    got = bounded(labelled_sample(docs, labels, "toxic", rows)).select("text", "y").orderBy(F.xxhash64("text")).collect()
+    return train((r["text"] for r in got), np.array([r["y"] for r in got], np.int64))
+
+
+def bounded(sample: DataFrame, budget: int = TRAIN_BYTES) -> DataFrame:
+    """`sample` (text, y), thinned by a hash of the text so that each class of lengths holds about `budget` bytes.
+
+    Classes are powers of four, so long texts keep a share of their own instead of filling or leaving the sample.
+    """
+    sized = sample.withColumns({
+        "bytes": F.octet_length("text").cast("long"),
+        "class": F.floor(F.log2(F.octet_length("text") + F.lit(1)) / 2),
+    })
+    sums = sized.groupBy("class").agg(F.sum("bytes").alias("total"))
+    share = F.floor(F.least(F.lit(1.0), F.lit(budget) / F.greatest(F.col("total"), F.lit(1))) * 2**32)
+    edges = {r["class"]: r["edge"] for r in sums.select("class", share.alias("edge")).collect()}
+    if not edges:
+        return sample
+    edge = F.element_at(F.create_map(*[F.lit(x).cast("long") for pair in edges.items() for x in pair]), F.col("class"))
+    return sized.where(F.pmod(F.xxhash64("text", F.lit("bytes")), F.lit(2**32)) < edge).select(*sample.columns)
 
 
 def decisions(texts: list[bytes | None], model: Model, known: dict[str, float]) -> np.ndarray:
-    """For each text the worst word's decision, at least 0, and the log of its number of distinct words (plus 1);
-    `known` remembers words."""
-    out = np.zeros((len(texts), 2))
+    """For each text the worst word's decision, at least 0; `known` remembers words."""
+    out = np.zeros(len(texts))
     for s, e in doc_groups(texts, 2 << 20):
         bags = [words_of((t or b"").decode("utf-8", "replace")) for t in texts[s:e]]
         if len(known) > CACHE_WORDS:
@@ -247,14 +264,13 @@ def decisions(texts: list[bytes | None], model: Model, known: dict[str, float])
         for at in range(0, len(new), 20_000):
             part = new[at : at + 20_000]
             known.update(zip(part, model.words(part).tolist()))
-        out[s:e, 0] = [max(0.0, max(map(known.__getitem__, b), default=0.0)) for b in bags]
-        out[s:e, 1] = np.log1p([len(b) for b in bags])
+        out[s:e] = [max(0.0, max(map(known.__getitem__, b), default=0.0)) for b in bags]
     return out
 
 
 def _shared(spark, model: Model):
     """The model for tasks; its size is that of the hash table, whatever the data."""
-    return spark.sparkContext.broadcast((model.weights.astype(np.float32), model.slope, model.length, model.shift))
+    return spark.sparkContext.broadcast((model.weights.astype(np.float32), model.slope, model.shift))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:
@@ -286,7 +302,11 @@ def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5, text: s
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """doc_id, held_out, score, predicted: one row per row of `docs`, repeated rows and null ids included."""
+    """doc_id, held_out, score, predicted: one row per row of `docs`, repeated rows and null ids included.
+
+    Null and empty texts score as texts without words; without labels of both kinds all scores are near 0 or 1. An
+    empty table gives an empty one.
+    """
     out = scored(docs, fit(docs, labels))
     return out.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")

@@ -68,12 +68,61 @@ def test_gapped_and_changed_insults_are_found():
     model = toxicity.train(texts, np.array(y))
     say = lambda w: f"the rein {w} anstin reoues theor"
     score = lambda t: model.score(toxicity.decisions([t.encode()], model, {}))[0]
-    for word in ("blockhead", "BLOCKHEAD!", "b-l-o-c-k-h-e-a-d", "b l o c k h e a d", "blockxhead", "numsskull", "dimw.it", "numskulls"):
+    for word in ("blockhead", "BLOCKHEAD!", "b-l-o-c-k-h-e-a-d", "b l o c k h e a d", "blockxhead", "numsskull", "dimw.it", "numskulls", "x" * 60 + "blockhead" + "y" * 60):
         assert score(say(word)) > 0.5, word
     for word in ("reston", "ouandes", "erinly", ""):
         assert score(say(word)) < 0.5, word
 
 
+def test_score_does_not_fall_with_length():
+    rng = random.Random(3)
+    clean = lambda n: [rng.choice("the river runs past our old mill and green hills".split()) + rng.choice("abcdef") for _ in range(n)]
+    texts = [" ".join(clean(rng.randint(5, 80)) + ["numskull"] * (i % 4 == 0)) for i in range(400)]
+    model = toxicity.train(iter(texts), np.array([int(i % 4 == 0) for i in range(400)]))
+    long = " ".join(clean(60_000))
+    for text, want in ((long + " numskull", 1), (long, 0), ("numskull", 1)):
+        assert (model.score(toxicity.decisions([text.encode()], model, {}))[0] > 0.5) == want
+
+
+def test_sample_is_bounded_in_each_class_of_lengths(docs_of):
+    docs = docs_of([f"{i} " + "w" * (10 if i % 2 else 40_000) for i in range(400)]).withColumn("y", F.lit(1))
+    assert toxicity.bounded(docs.select("text", "y"), 10**9).count() == 400
+    got = [len(r.text) for r in toxicity.bounded(docs.select("text", "y"), 2_000_000).collect()]
+    assert sum(n < 100 for n in got) == 200 and 20 <= sum(n > 100 for n in got) <= 90
+    assert toxicity.bounded(docs.limit(0).select("text", "y")).count() == 0
+
+
+def test_folded_weights_are_the_kernel_pair_by_pair():
+    """Kernel values by listing every gapped subsequence of both words, against the hashed features."""
+
+    def plain(word):
+        text, out = f"^{word}$", {}
+        for gaps in toxicity.GAPS:
+            for at in range(len(text) - gaps[-1]):
+                key = "".join(text[at + o] for o in (0, *gaps)) + str(gaps)
+                out[key] = out.get(key, 0) + toxicity.DECAY ** (gaps[-1] - len(gaps))
+        return out
+
+    def of_patterns(a, b):
+        """Equal characters count as the same subsequence whatever gap pattern made them."""
+        merge = lambda p: {k: sum(v for o, v in p.items() if o.split("(")[0] == k) for k in {o.split("(")[0] for o in p}}
+        x, y = merge(plain(a)), merge(plain(b))
+        return sum(x[k] * y[k] for k in x.keys() & y.keys())
+
+    words, marks = ["idiot", "idxiot", "clown", "é", "abracadabra", "idiots"], ["idiot", "clowns", "abra"]
+    own = np.unique(np.concatenate([h for _, h, _ in toxicity.features(marks)]))
+    columns = np.full(1 << toxicity.HASH_BITS, -1)
+    columns[own] = np.arange(len(own))
+    basis = toxicity.dense(marks, columns, len(own))
+    got = toxicity.kernel(words, columns, np.ascontiguousarray(basis.T))
+    length = lambda w: float(toxicity.norms([w])[0])
+    want = np.array([[of_patterns(w, m) / length(w) / length(m) for m in marks] for w in words])
+    assert np.allclose(got, want)
+    folded = np.zeros(1 << toxicity.HASH_BITS)
+    folded[own] = basis.T @ np.array([0.5, -2.0, 1.0])
+    assert np.allclose(toxicity.project(words, folded), want @ np.array([0.5, -2.0, 1.0]))
+
+
 def test_toxic_rows_leave_with_their_columns(docs_of):
     model = toxicity.train(["you fool", "dear friend", "what a fool", "hello there"] * 10, np.array([1, 0, 1, 0] * 10))
     docs = docs_of(["a fool!", "a friend", None, ""]).withColumn("score", F.lit("kept"))
