@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from motorpool.functions import makemodel as mm
 from motorpool.functions.numbers import double_or_infinite, is_finite
 from motorpool.functions.text import blank_to_null
-from motorpool.operators.brands import checked_brands, match_by_join
+from motorpool.operators.brands import MAX_PATTERN_BRANDS, checked_brands, match_by_join, match_by_search
 from motorpool.session import settle
 
 MIN_FLEET = 10
@@ -62,12 +62,16 @@ def split_make_model(rows: DataFrame, brands: Sequence[str] | DataFrame | None)
 def _find_by_join(parts: DataFrame, dictionary: DataFrame) -> DataFrame:
     """`_found` from a dictionary table: match the distinct imported texts, then join the hits back.
 
+    A small dictionary is asked for all its name lengths at once, a large one by a search over them, with equal results.
+
     The hits are settled, so their size decides between a broadcast and a shuffle join. All rows keep
     their own text as join key: a NULL key for domestic rows would gather them in one partition.
     """
     if not dictionary.where(F.col("brand") == mm.IMPORT_SEGMENT).isEmpty():
         raise ValueError(f"{mm.IMPORT_SEGMENT} marks imports and cannot be a brand")
-    hits = settle(match_by_join(parts.where("importado"), "_rest", dictionary), "hits")
+    large = dictionary.limit(MAX_PATTERN_BRANDS + 1).count() > MAX_PATTERN_BRANDS
+    match = match_by_search if large else match_by_join
+    hits = settle(match(parts.where("importado"), "_rest", dictionary), "hits")
     joined = parts.join(hits.withColumnRenamed("brand", "_hit"), "_rest", "left")
     return joined.withColumn("_found", F.when(F.col("importado"), F.coalesce("_hit", F.lit("")))).drop("_hit")
 

@@ -220,6 +220,14 @@ def _split() -> dict[str, str]:
         "model_strip": _base("SELECT id_raw, rest FROM segments"),
         "brand_prefix_match": _base("SELECT id_raw, rest, hit AS brand FROM typed"),
         "brand_prefix_join": _base("SELECT id_raw, rest, hit AS brand FROM typed"),
+        "brand_prefix_search": _base(
+            """SELECT t.id_raw, t.rest, b.brand FROM typed t LEFT JOIN best b ON t.rest = b.rest""",
+            """
+names AS (SELECT DISTINCT substr(rest, 1, CAST(3 + id_raw % 9 AS INT)) AS brand FROM typed WHERE importado AND rest <> ''),
+best AS (SELECT d.rest, arg_max(n.brand, length(n.brand)) AS brand
+         FROM (SELECT DISTINCT rest, unnest(range(1, 12)) AS size FROM typed) d
+         JOIN names n ON substr(d.rest, 1, d.size) = n.brand GROUP BY d.rest)""",
+        ),
         "imported_brand": _base("SELECT id_raw, marca_modelo, marca0 AS marca, modelo FROM split WHERE prefixed"),
         "imp_override": _base(
             "SELECT id_raw, marca_modelo, marca0 AS marca, modelo, importado FROM split WHERE importado AND NOT prefixed"

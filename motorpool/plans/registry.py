@@ -13,7 +13,9 @@ from motorpool.functions import makemodel as mm
 from motorpool.functions.numbers import decimal_comma, is_period, truncated_int
 from motorpool.functions.text import blank_to_null, clean_cell, normalize_text
 from motorpool.operators import catalogue, quality, reports
-from motorpool.operators.brands import dictionary_from_catalogue, dictionary_table, match_by_join
+from motorpool.operators.brands import (
+    dictionary_from_catalogue, dictionary_table, match_by_join, match_by_search,
+)
 from motorpool.operators.keys import bucket_count, dense_ids
 from motorpool.operators.normalize import (
     apply_aliases, normalize, parse_rows, split_make_model, typed_rows, valid_brands,
@@ -188,6 +190,17 @@ def brand_prefix_join(spark, sf):
     return texts.join(matched, "rest", "left").select("id_raw", "rest", "brand")
 
 
+@query
+def brand_prefix_search(spark, sf):
+    """A dictionary that grows with the tables: beginnings of 3 to 11 characters of the imported texts."""
+    texts = _texts(spark, sf)
+    imported = texts.where(mm.is_imported(F.col("marca_modelo"), F.col("segment")))
+    size = (3 + F.col("id_raw") % 9).cast("int")
+    names = settle(imported.select(F.substring(F.col("rest"), F.lit(1), size).alias("brand")).distinct(), "names")
+    matched = settle(match_by_search(texts.select("rest"), "rest", names), "matched")
+    return texts.join(matched, "rest", "left").select("id_raw", "rest", "brand")
+
+
 @query
 def imported_brand(spark, sf):
     rows = _split(spark, sf).where(mm.import_prefixed(F.col("marca_modelo")))

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from motorpool.dictionaries import BRAND_ALIASES, STARTER_BRANDS, alias_table, inline_table
 from motorpool.functions import makemodel as mm
 from motorpool.operators.brands import (
-    brand_names, checked_brands, dictionary_from_catalogue, dictionary_table, load_dictionary, longest_first, match_by_join,
+    _look_up, brand_names, checked_brands, dictionary_from_catalogue, dictionary_table, load_dictionary, longest_first,
+    match_by_join, match_by_search, search_table,
 )
 from motorpool.operators.normalize import (
     apply_aliases, brand_totals, normalize, parse_rows, split_make_model, valid_brands,
@@ -104,6 +105,58 @@ def test_pattern_and_join_agree_on_every_prefix_text(spark):
     assert joined["FIAT ALLIS X"] == "FIAT ALLIS" and joined["MANGOSTEENX"] == "MANGOSTEEN"
 
 
+def test_search_agrees_with_the_join_on_nested_names(spark):
+    rng = random.Random(5)
+    names = {"".join(rng.choice("AB ") for _ in range(rng.randint(1, 14))).strip() or "A" for _ in range(120)}
+    texts = {n + end for n in names for end in ("", "A", "ZZ", " B")} | {n[:-1] for n in names} | {"Z", "ÉA"}
+    texts |= {"".join(rng.choice("AB ") for _ in range(rng.randint(0, 20))) for _ in range(300)}
+    rows = spark.createDataFrame([(t,) for t in texts] + [(None,), ("A",), ("A",)], "rest string")
+    for some in (sorted(names), sorted(names)[:1], sorted(names)[:7], [*sorted(names), "ÉA"]):
+        table = dictionary_table(spark, some)
+        want = {t: max((n for n in some if t.startswith(n)), key=len, default=None) for t in texts}
+        got = [(r.rest, r.brand) for r in match_by_search(rows, "rest", table).collect()]
+        assert len(got) == len(dict(got)) and dict(got) == {t: b for t, b in want.items() if b is not None}
+        assert set(got) == {(r.rest, r.brand) for r in match_by_join(rows, "rest", table).collect()}
+    assert match_by_search(rows, "rest", table.limit(0)).count() == 0
+    assert match_by_search(rows.limit(0), "rest", table).count() == 0
+
+
+@pytest.mark.parametrize("count", [5001, 100_000])
+def test_search_on_large_dictionaries_with_a_hot_beginning(spark, count):
+    """Two thirds of all texts begin with one name; markers at log2(lengths) places a name at most."""
+    dictionary = spark.range(count).selectExpr("concat('N', cast(id * 7 AS string), if(id % 3 = 0, ' MOTORS', '')) AS brand")
+    texts = spark.range(40_000).selectExpr("if(id % 3 > 0, concat('N7 X', id), concat('N', id * 7, ' M', id)) AS rest")
+    found = match_by_search(texts, "rest", dictionary)
+    got = {r.rest: r.brand for r in found.collect()}
+    assert got == {r.rest: r.brand for r in match_by_join(texts, "rest", dictionary).collect()}
+    lengths = sorted({r.n for r in dictionary.selectExpr("length(brand) AS n").distinct().collect()})
+    assert search_table(dictionary, lengths).count() <= count * (len(lengths).bit_length() + 1)
+
+
+def test_no_task_of_the_search_gets_a_hot_beginning_whole(spark):
+    """The keys of the look-up's join, by hand: a beginning that every text shares is dealt over parts."""
+    texts = spark.range(20_000).selectExpr("concat('FORD ', id) AS _text", "0 AS _low", "0 AS _high", "0 AS _found")
+    entries = spark.createDataFrame([("FORD", 4)], "prefix string, found int")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = _look_up(texts, entries, [4], 300)
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 20_000 and max(sizes) <= 3 * sorted(sizes)[len(sizes) // 2]
+        assert out.where("_found = 4").count() == 20_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_normalisation_with_a_large_dictionary(spark):
+    many = dictionary_table(spark, STARTER_BRANDS).union(spark.range(6000).selectExpr("concat('ZZQ', id) AS brand"))
+    raw = raw_rows(spark, [("I/FORD KA", "2010", "20"), ("I/LAND ROVER X", "2010", "20"), ("I/NOBODY X", "2010", "20"), ("FIAT/UNO", "2010", "20")])
+    pick = lambda brands: {(r.id_raw, r.marca, r.modelo) for r in normalize(raw, brands, alias_table(spark)).collect()}
+    assert pick(many) == pick(STARTER_BRANDS) and len(pick(many)) == 3
+
+
 def test_join_match_on_one_hot_text(spark):
     rows = spark.range(30_000).selectExpr("if(id % 3 = 0, 'FORD KA', concat('BMW ', id)) AS rest")
     matched = match_by_join(rows, "rest", dictionary_table(spark))
