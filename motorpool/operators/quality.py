@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from motorpool.functions.numbers import lenient_double
 from motorpool.schemas import INPUT_COLUMNS
+from motorpool.session import settle
+
+#: Digests compared in a reconciliation.
+BUCKETS = 4096
 
 
 def orphans(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -40,14 +44,24 @@ def surplus_rows(rows: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
     return _long(groups.agg(F.sum(F.col("_n") - 1).alias(name)))
 
 
+def conditions_and_repeats(rows: DataFrame, checks: Mapping[str, Column], keys: Sequence[str], name: str) -> DataFrame:
+    """`conditions_report` and `surplus_rows` from one scan: the conditions are sums within the groups of `keys`."""
+    counts = {f"_{i}": n for i, n in enumerate(checks)}
+    groups = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[_count(c).alias(f"_{i}") for i, c in enumerate(checks.values())]
+    )
+    return _long(groups.agg(
+        F.sum("_n").alias("rows"), *[F.sum(c).alias(n) for c, n in counts.items()], F.sum(F.col("_n") - 1).alias(name)
+    ))
+
+
 def raw_report(raw: DataFrame) -> DataFrame:
     """Missing required fields, unreadable numbers and repeated rows of the raw layer."""
     year, count = (lenient_double(F.col(c)) for c in INPUT_COLUMNS[2:])
     checks = {f"null_{c}": F.col(c).isNull() for c in INPUT_COLUMNS}
     checks["bad_ano"] = F.col(INPUT_COLUMNS[2]).isNotNull() & year.isNull()
     checks["bad_qtd"] = F.col(INPUT_COLUMNS[3]).isNotNull() & count.isNull()
-    repeated = surplus_rows(raw, ["report_period", *INPUT_COLUMNS], "duplicate_rows")
-    return conditions_report(raw, checks).unionByName(repeated)
+    return conditions_and_repeats(raw, checks, ["report_period", *INPUT_COLUMNS], "duplicate_rows")
 
 
 def norm_report(hashed: DataFrame) -> DataFrame:
@@ -58,8 +72,7 @@ def norm_report(hashed: DataFrame) -> DataFrame:
         "blank_modelo": F.coalesce(F.trim("modelo") == "", F.lit(True)),
         "null_uf": F.col("uf").isNull(),
     }
-    repeated = surplus_rows(hashed, ["report_period", "hash_veiculo", "uf"], "shared_cell_rows")
-    return conditions_report(hashed, checks).unionByName(repeated)
+    return conditions_and_repeats(hashed, checks, ["report_period", "hash_veiculo", "uf"], "shared_cell_rows")
 
 
 def integrity_report(dim: DataFrame, fact: DataFrame) -> DataFrame:
@@ -114,16 +127,51 @@ def hash_collisions(hashed: DataFrame, parts: Sequence[str], key: str = "hash_ve
     return counted.where(F.col("combinations") > 1)
 
 
-def reconcile(staged: DataFrame, stored: DataFrame, key: str = "hash_veiculo") -> DataFrame:
-    """Distinct keys on both sides, on one side only; (check_name, n)."""
-    left = staged.select(key).distinct().withColumn("_staged", F.lit(True))
-    right = stored.select(key).distinct().withColumn("_stored", F.lit(True))
-    both = left.join(right, key, "full_outer")
+def _digests(rows: DataFrame, key: str, buckets: int) -> DataFrame:
+    """(bucket, keys, first, second): distinct keys of each bucket, by 128 bits of hash, and the sums without carry of
+    these bits. Equal sets have equal digests whatever their order."""
+    bits = rows.where(F.col(key).isNotNull()).select(
+        F.xxhash64(key).alias("_first"), F.xxhash64(F.lit("second"), F.col(key)).alias("_second")
+    )
+    return bits.distinct().groupBy(F.pmod("_first", F.lit(buckets)).alias("bucket")).agg(
+        F.count(F.lit(1)).alias("keys"), F.bit_xor("_first").alias("first"), F.bit_xor("_second").alias("second")
+    )
+
+
+def compare_digests(staged: DataFrame, stored: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, keys, same) for every bucket that holds keys; `same` where both sides hold the same keys."""
+    left, right = _digests(staged, key, buckets), _digests(stored, key, buckets)
+    right = right.toDF("bucket", "_keys", "_first", "_second")
+    equal = (F.col("keys") == F.col("_keys")) & (F.col("first") == F.col("_first")) & (F.col("second") == F.col("_second"))
+    return left.join(right, "bucket", "full_outer").select("bucket", "keys", F.coalesce(equal, F.lit(False)).alias("same"))
+
+
+def reconcile(staged: DataFrame, stored: DataFrame, key: str = "hash_veiculo", buckets: int = BUCKETS) -> DataFrame:
+    """Distinct keys on both sides, on one side only; (check_name, n). A NULL key has no counterpart.
+
+    Buckets of keys are compared by their digests first; keys themselves are shuffled and joined only for buckets
+    that differ, and for NULL. Neither side needs to be distinct.
+    """
+    compared = settle(compare_digests(staged, stored, key, buckets), "digests")
+    differing = compared.where(~F.col("same")).select(F.col("bucket").alias("_bucket"))
+
+    def rest(rows: DataFrame, flag: str) -> DataFrame:
+        keys = rows.select(key)
+        # at most `buckets` rows, hence the broadcast
+        at = keys.join(F.broadcast(differing), F.pmod(F.xxhash64(key), F.lit(buckets)) == F.col("_bucket"), "left_semi")
+        return at.where(F.col(key).isNotNull()).union(keys.where(F.col(key).isNull())).distinct().withColumn(flag, F.lit(True))
+
+    both = rest(staged, "_staged").join(rest(stored, "_stored"), key, "full_outer")
     in_staged, in_stored = F.col("_staged").isNotNull(), F.col("_stored").isNotNull()
-    return _long(both.agg(
+    joined = both.agg(
         _count(in_staged).alias("staged"),
         _count(in_stored).alias("stored"),
         _count(in_staged & in_stored).alias("in_both"),
         _count(in_staged & ~in_stored).alias("only_staged"),
         _count(in_stored & ~in_staged).alias("only_stored"),
+    )
+    agreed = compared.where("same").agg(F.coalesce(F.sum("keys"), F.lit(0)).alias("_agreed"))
+    total = joined.withColumn("_agreed", agreed.scalar())
+    return _long(total.select(
+        *[(F.col(c) + F.col("_agreed")).alias(c) for c in ("staged", "stored", "in_both")], "only_staged", "only_stored"
     ))

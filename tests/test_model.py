@@ -171,6 +171,42 @@ def test_quality_reports(spark, norm, rows):
     assert {r.check_name: r.n for r in quality.norm_report(with_vehicle_hash(norm).limit(0)).collect()}["shared_cell_rows"] == 0
 
 
+def _plain_sides(a, b):
+    x, y = set(a) - {None}, set(b) - {None}
+    odd = [int(None in a), int(None in b)]
+    return {
+        "staged": len(x) + odd[0], "stored": len(y) + odd[1], "in_both": len(x & y),
+        "only_staged": len(x - y) + odd[0], "only_stored": len(y - x) + odd[1],
+    }
+
+
+def test_reconciliation_joins_only_buckets_that_differ(spark):
+    keys = [f"k{i}" for i in range(3000)]
+    table = lambda k: spark.createDataFrame([(x,) for x in k], "hash_veiculo string")
+    cases = [
+        (keys, keys), (keys + keys[:50], keys[::-1]), (keys, keys[:-1]), (keys[5:], keys[:-3] + ["new", "other"]),
+        (keys + [None], keys + [None, None]), ([None], []), ([], keys[:4]), ([], []),
+    ]
+    for a, b in cases:
+        left, right = table(a), table(b)
+        assert {r.check_name: r.n for r in quality.reconcile(left, right).collect()} == _plain_sides(a, b)
+        differing = quality.compare_digests(left, right, "hash_veiculo").where("not same").count()
+        changed = set(a) ^ set(b) - {None}
+        assert (differing == 0) == (not changed - {None}) and differing <= len(changed)
+
+
+def test_row_checks_and_repeats_come_from_one_scan(spark, tmp_path):
+    rows = [(202501, "SP", "FORD/KA", "2010", "5")] * 3 + [(202501, None, "X", "bad", "1"), (202506, "RJ", None, None, "x")]
+    spark.createDataFrame(rows, "report_period int, uf string, marca_modelo string, ano_fabricacao_veiculo_crv string, qtd_veiculos string").write.parquet(str(tmp_path / "raw"))
+    report = quality.raw_report(spark.read.parquet(str(tmp_path / "raw")))
+    got = {r.check_name: r.n for r in report.collect()}
+    assert got == {
+        "rows": 5, "null_uf": 1, "null_marca_modelo": 1, "null_ano_fabricacao_veiculo_crv": 1, "null_qtd_veiculos": 0,
+        "bad_ano": 1, "bad_qtd": 1, "duplicate_rows": 2,
+    }
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def test_catalogue_rules(spark):
     rows = spark.createDataFrame(
         [(1, "Gasolina/Elétrico", "Automatizada; Manual"), (2, "-", "MECÂNICA"), (3, " querosene  azul", "-"), (4, None, None)],
