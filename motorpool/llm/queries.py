@@ -53,7 +53,7 @@ def op8_spherical_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.round_trip(table(spark, sf_dir, "pages"))
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("part", "place")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

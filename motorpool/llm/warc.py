@@ -272,25 +272,34 @@ def read_archives(archives: DataFrame, root: str) -> DataFrame:
     return own.repartition(partitions(archives.sparkSession)).mapInArrow(run, schema)
 
 
+def listed_records(index: DataFrame, uri: str) -> DataFrame:
+    """The records of the archives with their `part` and `place` in the merged `index`, matched by archive and offset.
+
+    A record that the index doesn't list is an error, and so is an entry whose record is gone, as in a cut archive.
+    """
+    at = ["archive", "offset", "length"]
+    back = read_archives(index, uri).withColumn("_read", F.lit(True))
+    joined = back.join(index.select(*at, "part", "place", F.lit(True).alias("_listed")), at, "full_outer")
+    unlisted, gone = (F.raise_error(F.lit(x)).cast("long") for x in ("a record is not in the index", "a record of the index is not in its archive"))
+    size = F.when(F.col("_listed").isNull(), unlisted).when(F.col("_read").isNull(), gone).otherwise(F.col("payload_bytes"))
+    return joined.withColumn("payload_bytes", size).drop("_read", "_listed")
+
+
 def round_trip(pages: DataFrame, min_bytes: int = 0, root: str | None = None) -> DataFrame:
-    """Archive `pages`, merge the index, read the archives back by it.
+    """Archive `pages`, merge the index, read the archives back and place their records by it.
 
-    Returns page_id, payload_bytes, payload_digest, record_type, refers_to for every page; columns beyond page_id, url
-    and html are ignored. A record without an index entry at its place, or the reverse, is an error.
+    Returns page_id, payload_bytes, payload_digest, record_type, refers_to for every page, and its `part` and `place`
+    in the global order of capture histories (URL key, time, page id). Columns beyond page_id, url and html are
+    ignored; an empty table gives an empty one. Record and index entry without the other are an error.
     """
     spark = pages.sparkSession
     root = root or scratch_path(spark, "warc")
     uri = root if "://" in root else f"file://{root.removeprefix('file:')}"
     kind = pages.schema["page_id"].dataType
     runs = settle(write_archives(kinds(pages, min_bytes), uri), "runs")
-    index = settle(merged_index(runs), "index")
-    back = read_archives(index, uri)
-    place = ["archive", "offset", "length"]
-    joined = back.join(index.select(*place, F.lit(True).alias("listed")), place, "left")
-    unlisted = F.raise_error(F.lit("a record is not in the index")).cast("long")
-    checked = joined.withColumn("payload_bytes", F.when(F.col("listed"), F.col("payload_bytes")).otherwise(unlisted))
+    records = listed_records(settle(merged_index(runs), "index"), uri)
     number = lambda c: F.when(F.col(c) != "none", F.col(c)).cast(kind).alias(c)
-    return checked.select(number("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"))
+    return records.select(number("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to"), "part", "place")
 
 
 ORACLE = """
