@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -66,12 +66,12 @@ def upsert_with_ids(
     key: str,
     attributes: Sequence[str],
     id_column: str,
-    highest: int,
+    highest: int | Callable[[int], int],
     *,
     touch: Mapping[str, Column] | None = None,
     on_insert: Mapping[str, Column] | None = None,
 ) -> tuple[DataFrame, int]:
-    """Merge that keeps existing surrogate keys and numbers new rows after `highest`.
+    """Merge that keeps existing surrogate keys and numbers new rows after `highest`, or what it gives for their number.
 
     Returns the merged table and the number of new rows. A source that repeats a key is refused; it should
     be settled, since it is read three times. Only the new keys are numbered, and their
@@ -79,7 +79,8 @@ def upsert_with_ids(
     """
     assert_unique(source, [key])
     fresh, inserted = settle_counted(source.select(key).join(target.select(key), key, "left_anti"), "fresh")
-    numbered = settle(dense_ids(fresh, key, id_column, highest, bucket_count(inserted)), "ids")
+    start = highest(inserted) if callable(highest) else highest
+    numbered = settle(dense_ids(fresh, key, id_column, start, bucket_count(inserted)), "ids")
     carrying = source.join(numbered, key, "left")
     return upsert(target, carrying, [key], attributes, touch=touch, on_insert=on_insert), inserted
 

@@ -26,6 +26,8 @@ from motorpool.sources.publish import Publication
 from motorpool.sources.warehouse import Warehouse, now_literal
 
 PHASES = ("raw", "normalize", "core", "analytics")
+#: Seconds a load waits for its turn to merge and to publish.
+WAIT = 3600.0
 #: Stands for a dictionary that was not given.
 NOT_GIVEN = object()
 
@@ -48,9 +50,8 @@ def phase_range(start: str = "raw", stop: str = "analytics") -> tuple[str, ...]:
 
 def load_raw(warehouse: Warehouse, records: DataFrame, total: int, period: int) -> int:
     """Replace the period in the raw layer; ids continue after the highest one, in file order."""
-    base = warehouse.highest_id(RAW, "id_raw")
     # Numbers count as given out before they are stored: a failed write may leave a gap, never a repeat.
-    warehouse.record_highest_id(RAW, "id_raw", base + total)
+    base = warehouse.reserve_ids(RAW, "id_raw", total)
     rows = records.withColumns({
         "report_period": F.lit(period),
         "id_raw": F.col("record") + F.lit(base + 1),
@@ -85,13 +86,11 @@ def load_core(warehouse: Warehouse, period: int, touch_updated_at: bool = False)
     # Settled once: the merge reads it twice, and the written ids must match what was merged.
     vehicles, incoming = settle_counted(vehicle_dim(norm), "vehicles")
     if incoming:
-        last = warehouse.highest_id(DIM, "id_veiculo")
         merged, inserted = upsert_with_ids(
-            dim, vehicles, "hash_veiculo", DIM_ATTRIBUTES, "id_veiculo", last,
+            dim, vehicles, "hash_veiculo", DIM_ATTRIBUTES, "id_veiculo", lambda n: warehouse.reserve_ids(DIM, "id_veiculo", n),
             touch={"updated_at": now} if touch_updated_at else None,
             on_insert={"created_at": now, "updated_at": now},
         )
-        warehouse.record_highest_id(DIM, "id_veiculo", last + inserted)
         version += 1
         warehouse.write_dim(merged, version)
         # Compared with the incoming vehicles only: no other row of the dimension can have changed.
@@ -123,11 +122,13 @@ def run(
     multi_file: bool = False,
     reading: Reading | None = None,
     prefix: str = "",
+    wait: float = WAIT,
 ) -> Outcome:
     """Run the phases from `start` to `stop` for one period, the latest one if none is named.
 
     `brands` is the dictionary for imported vehicles: names, or a table with a column `brand`. Normalising
-    without one would drop every imported vehicle, so it has to be given; None asks for just that.
+    without one would drop every imported vehicle, so it has to be given; None asks for just that. Other loads that
+    merge or publish are waited for up to `wait` seconds each time.
     """
     phases = phase_range(start, stop)
     if "normalize" in phases and brands is NOT_GIVEN:
@@ -137,7 +138,8 @@ def run(
     warehouse = Warehouse(spark, root, prefix)
     warehouse.ensure()
     outcome = Outcome(report_period)
-    with warehouse.exclusive(), scratch_scope(spark):
+    # Periods load side by side. The dimension is merged by one load after the other, and so is the publication.
+    with warehouse.loading(report_period), scratch_scope(spark):
         if "raw" in phases:
             records, total = load_period(spark, folder, multi_file=multi_file, reading=reading)
             outcome.counts["raw"] = load_raw(warehouse, records, total, report_period)
@@ -145,9 +147,10 @@ def run(
             names = alias_table(spark) if aliases is None else aliases
             outcome.counts["norm"] = load_norm(warehouse, report_period, brands, names)
         if "core" in phases:
-            outcome.counts.update(load_core(warehouse, report_period))
+            with warehouse.exclusive("_core", wait):
+                outcome.counts.update(load_core(warehouse, report_period))
         if "analytics" in phases:
-            outcome.counts["version"] = Publication(warehouse).publish()
+            outcome.counts["version"] = Publication(warehouse).publish(wait)
         warehouse.log_counts(report_period, {k: n for k, n in outcome.counts.items() if k != "version"})
     return outcome
 

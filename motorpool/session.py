@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,7 +12,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _local_scratch: str | None = None
-_scope: list[str] | None = None
+#: Each thread has its own, so that jobs side by side remove their own tables only.
+_scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scope", default=None)
 
 
 def build_session(app: str = "motorpool", master: str | None = None, **conf: str) -> SparkSession:
@@ -51,20 +53,21 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    if _scope is not None:
-        _scope.append(path)
+    made = _scope.get()
+    if made is not None:
+        made.append(path)
     return path
 
 
 @contextlib.contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Remove the scratch tables made inside once their readers are done, as at the end of a job."""
-    global _scope
-    outer, _scope = _scope, []
+    made: list[str] = []
+    before = _scope.set(made)
     try:
         yield
     finally:
-        made, _scope = _scope, outer
+        _scope.reset(before)
         for path in made:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import json
+import os
 import uuid
 from dataclasses import dataclass
+from pathlib import Path
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -66,8 +68,35 @@ def create(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def _local(spark: SparkSession, path: str) -> Path | None:
+    """The path on the driver's own disk, None on other file systems."""
+    fs, target = _locate(spark, path)
+    return Path(target.toUri().getPath()) if fs.getUri().getScheme() == "file" else None
+
+
+def _beside(place: Path, content: dict) -> Path:
+    place.parent.mkdir(parents=True, exist_ok=True)
+    beside = place.with_name(f".{place.name}.{uuid.uuid4().hex}")
+    beside.write_text(json.dumps(content, sort_keys=True), encoding="utf-8")
+    return beside
+
+
 def create_whole(spark: SparkSession, path: str, content: dict) -> bool:
-    """Make a JSON file that must not exist yet, complete from its first moment; False if it does."""
+    """Make a JSON file that must not exist yet, complete from its first moment; False if it does.
+
+    Exactly one of several callers gets True: HDFS refuses to rename over a file. Local disks are only asked whether
+    it exists before they rename, so there a hard link, which the system refuses, makes it.
+    """
+    place = _local(spark, path)
+    if place:
+        beside = _beside(place, content)
+        try:
+            os.link(beside, place)
+        except FileExistsError:
+            return False
+        finally:
+            beside.unlink()
+        return True
     try:
         _rename(spark, path, content, overwrite=False)
     except Py4JJavaError as error:
@@ -90,6 +119,12 @@ def read_json(spark: SparkSession, path: str) -> dict | None:
 
 def replace_json(spark: SparkSession, path: str, content: dict) -> None:
     """Write beside the target, then rename over it, so a reader sees the old or the new content."""
+    place = _local(spark, path)
+    if place:
+        # Hadoop deletes a local target before it renames; a checksum it left would not fit the new content
+        place.with_name(f".{place.name}.crc").unlink(missing_ok=True)
+        os.replace(_beside(place, content), place)
+        return
     _rename(spark, path, content, overwrite=True)
 
 

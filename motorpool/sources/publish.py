@@ -32,6 +32,7 @@ class Publication:
     def _switch(self, manifest: dict) -> None:
         named = {str(manifest[which]) for which in NAMES}
         manifest["versions"] = {n: v for n, v in manifest["versions"].items() if n in named}
+        self.warehouse.check_leases()
         files.replace_json(self.spark, f"{self.root}/manifest.json", manifest)
         self._show(manifest)
         self._retain(manifest)
@@ -43,13 +44,13 @@ class Publication:
             out |= {source: copy for source, copy in (version["dim"], *version["fact"].values())}
         return out
 
-    def publish(self) -> int:
+    def publish(self, wait: float = 0.0) -> int:
         """Copy what changed in the core tables, ids and timestamps included, and make the new version current.
 
         A month's load adds one period, so one period and the dimension are copied, whatever the history holds. The
         version becomes visible by one manifest replacement once both tables are complete; copies need no shuffle.
         """
-        with self.warehouse.exclusive("_publishing"):
+        with self.warehouse.exclusive("_publishing", wait):
             before = self.manifest()
             version = before["last"] + 1
             core, record = self.warehouse, self.warehouse.commit_record()

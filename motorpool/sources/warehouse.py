@@ -14,6 +14,7 @@ from motorpool.dictionaries import inline_table
 from motorpool.schemas import AUDIT, DIM, FACT, LOAD_LOG, NORM, RAW, Contract, conform
 from motorpool.session import settle
 from motorpool.sources import files
+from motorpool.sources.leases import SECONDS, Lease, record_numbers
 
 COMMITS = "_commits"
 #: Commit records that stay; their folders are those of the last two.
@@ -41,7 +42,7 @@ def show_periods(spark: SparkSession, name: str, contract: Contract, folders: di
     known = {int(r.partition.removeprefix(f"{part}=")) for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     fresh = sorted(folders.keys() - known)
     if fresh:
-        spark.sql(f"ALTER TABLE {name} ADD " + " ".join(f"PARTITION ({part}={p}) LOCATION '{folders[p]}'" for p in fresh))
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS " + " ".join(f"PARTITION ({part}={p}) LOCATION '{folders[p]}'" for p in fresh))
     if contract is FACT:
         for p in sorted(folders.keys() & known):
             spark.sql(f"ALTER TABLE {name} PARTITION ({part}={p}) SET LOCATION '{folders[p]}'")
@@ -64,10 +65,12 @@ class Warehouse:
     `prefix` goes in front of the SQL schema names, so several warehouses can share a session.
     """
 
-    def __init__(self, spark: SparkSession, root: str, prefix: str = "") -> None:
+    def __init__(self, spark: SparkSession, root: str, prefix: str = "", lease_seconds: float = SECONDS) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.prefix = prefix
+        self.lease_seconds = lease_seconds
+        self._held: list[Lease] = []
 
     # Locations and SQL names
 
@@ -78,8 +81,7 @@ class Warehouse:
         return f"{self.root}/{contract.schema}/{contract.name}"
 
     def _commits(self) -> list[int]:
-        names = [e.name for e in files.listing(self.spark, f"{self.root}/core/{COMMITS}")]
-        return sorted(int(n.removesuffix(".json")) for n in names if n.removesuffix(".json").isdigit())
+        return record_numbers(self.spark, f"{self.root}/core/{COMMITS}")
 
     def commit_record(self, number: int | None = None) -> dict:
         """What the core layer is as of a commit, the last one by default.
@@ -101,8 +103,13 @@ class Warehouse:
         It fails if another load has committed since `before` was read. Folders that neither the new nor the
         previous record names are removed afterwards; a failure there leaves files that nobody reads.
         """
+        self.check_leases()
         number = before["number"] + 1
-        if not files.create_whole(self.spark, self._commit_path(number), {"dim": dim, "fact": fact}):
+        # A higher number means that records up to ours may have been made and swept since; readers take the highest.
+        if (
+            not files.create_whole(self.spark, self._commit_path(number), {"dim": dim, "fact": fact})
+            or max(self._commits()) > number
+        ):
             raise RuntimeError(f"another load committed {number} in {self.root}")
         after = self.commit_record(number)
         for contract in (DIM, FACT):
@@ -168,16 +175,39 @@ class Warehouse:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
         self.spark.catalog.refreshTable(name)
 
+    def _lease(self, work: str) -> Lease:
+        return Lease(self.spark, self.root, work, self.lease_seconds)
+
+    @contextlib.contextmanager
+    def exclusive(self, work: str = "_loading", wait: float = 0.0) -> Iterator[None]:
+        """Keep other jobs out of `work` until it is done, by default out of loading any period.
+
+        Another job that holds it is waited for up to `wait` seconds. A job that dies holds it no longer than a lease.
+        """
+        with self._lease(work).hold(wait) as lease:
+            if work == "_loading":
+                for other in files.listing(self.spark, f"{self.root}/_leases"):
+                    if other.name.startswith("_loading_") and self._lease(other.name).held():
+                        raise RuntimeError(f"another job loads a period of this warehouse: {other.name}")
+            self._held.append(lease)
+            try:
+                yield
+            finally:
+                self._held.remove(lease)
+
     @contextlib.contextmanager
-    def exclusive(self, work: str = "_loading") -> Iterator[None]:
-        """Keep other jobs out while this one loads: two at once would give out the same numbers."""
-        lock = f"{self.root}/{work}"
-        if not files.create(self.spark, lock, now_text()):
-            raise RuntimeError(f"another job holds this warehouse; if none does, remove {lock}")
-        try:
+    def loading(self, period: int) -> Iterator[None]:
+        """Keep other jobs from loading the same period, and all periods from being held as a whole."""
+        with self.exclusive(f"_loading_{period}"):
+            # each side takes its own lease before it looks at the other's, so they cannot miss each other
+            if self._lease("_loading").held():
+                raise RuntimeError("another job holds this warehouse")
             yield
-        finally:
-            files.drop(self.spark, lock)
+
+    def check_leases(self) -> None:
+        """Raise if a lease that this job works under went to another job."""
+        for lease in self._held:
+            lease.check()
 
     # Reads
 
@@ -206,11 +236,34 @@ class Warehouse:
     def highest_id(self, contract: Contract, column: str) -> int:
         """The last number given out. Kept beside the table, so no load scans the periods before it,
         and never lowered: numbers of replaced rows are not used again."""
+        return self._last_range(contract, column)[1]
+
+    def _ranges(self, contract: Contract, column: str) -> str:
+        return f"{self.folder(contract)}/_ids_{column}"
+
+    def _last_range(self, contract: Contract, column: str) -> tuple[int, int]:
+        """Number of the last record of ids, and the last id it gave out."""
+        folder = self._ranges(contract, column)
+        number = max(record_numbers(self.spark, folder), default=0)
+        if number:
+            return number, files.read_json(self.spark, f"{folder}/{number:08d}.json")["last"]
+        # warehouses of before kept one number instead of ranges
         kept = files.read_json(self.spark, f"{self.folder(contract)}/_last_{column}.json")
-        return kept["value"] if kept else 0
+        return 0, kept["value"] if kept else 0
 
-    def record_highest_id(self, contract: Contract, column: str, value: int) -> None:
-        files.replace_json(self.spark, f"{self.folder(contract)}/_last_{column}.json", {"value": value})
+    def reserve_ids(self, contract: Contract, column: str, n: int) -> int:
+        """Give out `n` ids: those after the number returned.
+
+        Each range is a record that only one job can make, so jobs that load at once get ranges of their own. A job
+        that fails leaves a gap, never a repeat. Records stay (one a load): a number that came free could be made twice.
+        """
+        while True:
+            number, last = self._last_range(contract, column)
+            if n == 0:
+                return last
+            record = {"last": last + n, "made": now_text()}
+            if files.create_whole(self.spark, f"{self._ranges(contract, column)}/{number + 1:08d}.json", record):
+                return last
 
     # Writes
 
@@ -220,6 +273,7 @@ class Warehouse:
         Dynamic overwrite swaps partitions at commit, so a failed job leaves the old rows. It does not
         touch a period without new rows, so those are cleared afterwards.
         """
+        self.check_leases()
         checked, seen = self._checked(rows, contract, periods)
         writer = checked.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(contract.partition).parquet(self.folder(contract))
