@@ -5,6 +5,8 @@ every vector has the cell of its nearest centroid as home. A link may cross cell
 near cells: unit vectors x and y with homes c and d satisfy <x, c - d> >= 0 and <y, d - c> >= 0, and these margins
 over |c - d| together are at most |x - y|. The lesser is hence at most half the distance that the threshold allows:
 with that margin one of the two is a guest at the other's home, whatever the data look like, and no link is lost.
+A label that one cell can hold has one cell and no guests, so only large labels pay for copies. Rows of a cell are
+dealt over so many tasks as they fill, whatever the number of partitions, so blocks are full and their pairs few.
 Homes are compared with homes and guests of their cell in blocks. Each vector carries the list of its cells, so a
 link that both homes see is counted in one of them, for both of its ends.
 Equal vectors are one entry with a count. Blocks answer with sums and spanning forests, never with all pairs.
@@ -28,10 +30,12 @@ from motorpool.session import settle
 COSINE = 0.93
 #: Vectors the centroids are fitted on at most.
 SAMPLE = 20_000
-#: Vectors to a cell that are aimed at, and cells at most.
-CELL_ROWS = 2000
-MAX_CELLS = 256
-BLOCK_ROWS = 512
+#: Vectors of one label to a cell that are aimed at, and cells at most.
+CELL_ROWS = 8192
+MAX_CELLS = 1024
+BLOCK_ROWS = 1024
+#: Rows of one cell that one task makes blocks of, about.
+DEALT_ROWS = 8 * BLOCK_ROWS
 #: Cells whose flags one component holds; a float holds as many bits exactly.
 FLAGS = 16
 #: Links a task gathers before it thins them out to a forest.
@@ -65,7 +69,7 @@ def tail(cells: int) -> int:
 def _cells(entries: DataFrame, centroids: np.ndarray, dims: int, cosine: float, share: float) -> DataFrame:
     """(part, id, vector, extra): extra is the entry's count at home, and minus its count as a guest.
 
-    Behind its `dims` components a vector has its home and the flags of its cells.
+    Entries that are not `split` have the first cell for a home and are guests nowhere. Behind its `dims` components a vector has its home and the flags of its cells.
     """
     reach = share * math.sqrt(2 - 2 * cosine) / 2 + 1e-9
     width = dims + tail(len(centroids))
@@ -77,8 +81,10 @@ def _cells(entries: DataFrame, centroids: np.ndarray, dims: int, cosine: float,
                 continue
             raw = to_matrix(batch.column(2), dims)
             near = unit(raw) @ centroids.T
-            home = near.argmax(1)
+            split = np.asarray(batch.column(4).to_numpy(zero_copy_only=False), bool)
+            home = np.where(split, near.argmax(1), 0)
             guest = near[np.arange(len(raw)), home][:, None] - near <= reach * apart[home]
+            guest = np.where(split[:, None], guest, np.arange(len(centroids)) == 0)
             row, cell = np.nonzero(guest)
             label = np.array(batch.column(1).to_pylist(), object)
             part = [f"{a}/{c}" for a, c in zip(label[row], cell)]
@@ -93,10 +99,22 @@ def _cells(entries: DataFrame, centroids: np.ndarray, dims: int, cosine: float,
                 names=["part", "id", "vector", "extra"],
             )
 
-    own = entries.select("id", F.col("label_key"), "vector", "n")
+    own = entries.select("id", F.col("label_key"), "vector", "n", "split")
     return own.mapInArrow(run, "part string, id long, vector array<double>, extra long")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The rows shuffled so that a task has about DEALT_ROWS of a part, or the whole part if it is smaller.
+
+    A part of any size is spread by its rows' ids; small ones come whole to one task. The counts have a row a part and
+    are settled, so Spark broadcasts them only below its own threshold.
+    """
+    rows = settle(rows, "cells")
+    counts = settle(rows.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / DEALT_ROWS).cast("int").alias("shares")), "shares")
+    share = F.pmod(F.xxhash64("id"), F.col("shares"))
+    return rows.join(counts, "part").withColumn("share", share).repartition("part", "share").select("part", "id", "vector", "extra")
+
+
 def _products(pairs: DataFrame, cosine: float, kind: str, dims: int) -> DataFrame:
     """(id, other, links): a number of links of `id`, and another entry of its component (or null)."""
 
@@ -133,8 +151,8 @@ def _products(pairs: DataFrame, cosine: float, kind: str, dims: int) -> DataFram
                 r, c = np.nonzero(hit)
                 if len(r):
                     # a forest of this block pair at once, so that dense groups stay small
-                    node, at = np.unique(np.r_[ids[r], others[c]], return_inverse=True)
-                    lab = local_roots(len(node), at[: len(r)], at[len(r) :])
+                    node = np.r_[ids, others]
+                    lab = local_roots(len(node), r, len(ids) + c)
                     far = np.flatnonzero(lab != np.arange(len(node)))
                     a.append(node[far])
                     b.append(node[lab[far]])
@@ -173,14 +191,17 @@ def near_vectors(
         F.first("v").alias("vector"), F.min("key").alias("least"), F.count(F.lit(1)).alias("n")
     )
     entries = settle(entries.withColumn("id", F.monotonically_increasing_id()), "entries")
-    n = entries.count()
+    # one row a label
+    sizes = settle(entries.groupBy("label_key").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    n = sizes.agg(F.max("size")).first()[0]
     if n:
         sample = entries.orderBy(F.xxhash64("h1", "h2", F.lit("fit"))).limit(SAMPLE).select("vector").toPandas()["vector"]
         fitted = unit(np.stack(sample.to_numpy()).astype(np.float64))
         centroids = spherical_kmeans(fitted, min(MAX_CELLS, math.ceil(n / CELL_ROWS)))
+        spread = entries.join(sizes.select("label_key", (F.col("size") > CELL_ROWS).alias("split")), "label_key")
         kind = kept_type(vectors, column)
         width = dims + tail(len(centroids))
-        dealt = settle(blocks(_cells(entries, centroids, dims, cosine, reach), width, BLOCK_ROWS, kind), "blocks")
+        dealt = settle(blocks(_dealt(_cells(spread, centroids, dims, cosine, reach)), width, BLOCK_ROWS, kind), "blocks")
         other = dealt.select("part", *(F.col(c).alias(f"{c}2") for c in ("ids", "vectors", "extra")))
         pairs = dealt.join(other, "part").select("ids", "vectors", "extra", "ids2", "vectors2", "extra2")
         with few_rows_a_batch(vectors.sparkSession, 2 * BLOCK_ROWS * (width * 8 + 16)):

@@ -109,6 +109,28 @@ def test_links_across_cells_of_low_rank_vectors(spark, monkeypatch):
     assert [got[i] for i in range(len(x))] == expected
 
 
+def test_blocks_do_not_grow_with_partitions(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "DEALT_ROWS", 200)
+    rows = spark.range(3000).select(
+        F.when(F.col("id") < 2000, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 4)).alias("part"), "id",
+        F.array(F.lit(1.0), F.col("id").cast("double")).alias("vector"), F.lit(1).cast("long").alias("extra"),
+    ).repartition(60)
+    found = near_vectors.blocks(near_vectors._dealt(rows), 2, 100, "<f8").collect()
+    assert sorted(i for r in found for i in np.frombuffer(bytes(r.ids), np.int64)) == list(range(3000))
+    # each share of a part ends in at most one block that is not full
+    assert len(found) <= sum(-(-n // 100) + -(-n // 200) for n in (2000, 250, 250, 250, 250))
+
+
+def test_large_and_small_labels_together(spark, monkeypatch):
+    monkeypatch.setattr(near_vectors, "CELL_ROWS", 60)
+    monkeypatch.setattr(near_vectors, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(near_vectors, "DEALT_ROWS", 40)
+    rows = [(i, v.tolist(), 0 if i % 3 else 1 + i % 7) for i, v in enumerate(cloud(600, 3))]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(9)
+    got = near_vectors.near_vectors(df).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id, r.kept) for r in got), key=repr) == brute(rows, 0.93)
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert near_vectors.near_vectors(df).count() == 0
