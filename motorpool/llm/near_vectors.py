@@ -31,7 +31,7 @@ COSINE = 0.93
 #: Vectors the centroids are fitted on at most.
 SAMPLE = 20_000
 #: Vectors of one label to a cell that are aimed at, and cells at most.
-CELL_ROWS = 8192
+CELL_ROWS = 2000
 MAX_CELLS = 1024
 BLOCK_ROWS = 1024
 #: Rows of one cell that one task makes blocks of, about.
