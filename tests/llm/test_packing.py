@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -70,3 +71,26 @@ def test_knapsack_equals_brute_force():
     best, counts = packing.knapsack(value, 11)
     brute = max(a + 3 * b + 4.2 * c + 5 * d for a in range(12) for b in range(6) for c in range(4) for d in range(3) if a + 2 * b + 3 * c + 4 * d <= 11)
     assert best == pytest.approx(brute) == pytest.approx((counts * value).sum()) and (counts * np.arange(1, 5)).sum() <= 11
+
+
+def test_tasks_of_a_worker_share_what_it_has_encoded(spark, monkeypatch):
+    """Ids stay right when the memory is full and words come back from the older one."""
+    monkeypatch.setattr(packing, "CACHE_WORDS", 30)
+    monkeypatch.setattr(packing, "CACHE_PARTS", 20)
+    encoder, made = packing.WordEncoder(tokenizer_file()), []
+    monkeypatch.setattr(encoder, "word", lambda w, f=encoder.word: made.append(w) or f(w))
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10 ** rng.randrange(1, 4))}-x" for _ in range(400)]
+    want = {w: ids.tobytes() for w, ids in zip(words, (i[:-1] for i in ids_of(words)))}
+    for at in range(0, len(words), 10):
+        own = [w.encode() for w in words[at : at + 10]] + [b"often"]
+        ids = encoder.ids_of(own)
+        assert all(ids[w] == want[w.decode()] for w in own[:-1])
+    assert made.count(b"often") == 1 and len(encoder.known) <= 41 and len(encoder.older) <= 41
+
+    def seen(batches):
+        for batch in batches:
+            yield batch.from_arrays([pa.array([id(packing.worker_encoder(tokenizer_file()))])], names=["id"])
+
+    rows = spark.range(4, numPartitions=1).union(spark.range(4, numPartitions=1)).coalesce(1)
+    assert rows.mapInArrow(seen, "id long").distinct().count() == 1
