@@ -4,7 +4,8 @@ A split cannot know by itself whether its first line starts a record or goes on
 first says what it does to the quote state: where it ends if it starts outside quotes, and where if it starts inside.
 That is one of four functions on two states: it keeps the state, sets it to one of the two, or swaps it. Lines are
 composed within their split, splits are composed within their file (a row a split), and each line then learns the
-state it really starts in. A line that starts outside quotes starts a record; lines that don't are joined to it, even
+state it really starts in. Lines are sorted within their split once, for both states the split may start in.
+A line that starts outside quotes starts a record; lines that don't are joined to it, even
 across splits. Only records of several lines are shuffled for that.
 
 Quotes count as CSV readers of the C family have it: a cell that starts with a quote is quoted up to the next quote
@@ -17,7 +18,7 @@ import csv
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from motorpool.session import settle
@@ -30,18 +31,24 @@ def _edge(separator: str) -> str:
     return re.escape(separator)
 
 
+def _cells(edge: str) -> str:
+    """Whole cells up to the last separator that ends one: quoted and closed, or without a quote in front."""
+    return rf'(?:(?:"{BODY}"[^{edge}]*+|(?!")[^{edge}]*+){edge})*+'
+
+
 def _leaves_open(text: Column, separator: str) -> Column:
     """True if `text`, starting outside quotes, ends inside a quoted cell."""
-    edge = _edge(separator)
-    rest = F.regexp_replace(text, rf'(?s)(^|{edge})"{BODY}"[^{edge}]*+', "$1")
-    return rest.rlike(rf'(^|{edge})"')
+    return text.rlike(rf'(?s)^{_cells(_edge(separator))}"{BODY}\z')
 
 
 def _stays_open(text: Column, separator: str) -> Column:
     """True if `text`, starting inside a quoted cell, ends inside one, that or a later one."""
     edge = _edge(separator)
-    own = rf'(?s)^{BODY}"[^{edge}]*+'
-    return ~text.rlike(own) | _leaves_open(F.regexp_replace(text, own, ""), separator)
+    return text.rlike(rf'(?s)^{BODY}(?:\z|"[^{edge}]*+{_cells(edge)}"{BODY}\z)')
+
+
+def _without_return(text: Column) -> Column:
+    return F.when(F.contains(text, F.lit("\r")), F.regexp_replace(text, r"\r$", "")).otherwise(text)
 
 
 def read_lines(spark: SparkSession, paths: Sequence[str], encoding: str, separator: str) -> DataFrame:
@@ -58,7 +65,7 @@ def read_lines(spark: SparkSession, paths: Sequence[str], encoding: str, separat
         F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_row"), text.alias("line"),
     )
     quote = F.col("line").contains('"')
-    bare = F.regexp_replace("line", r"\r$", "")
+    bare = _without_return(F.col("line"))
     return settle(
         lines.withColumns({
             "_closed_to": quote & _leaves_open(bare, separator), "_open_to": ~quote | _stays_open(bare, separator),
@@ -67,67 +74,85 @@ def read_lines(spark: SparkSession, paths: Sequence[str], encoding: str, separat
     )
 
 
-def _composed(fixed: str, swaps: str, start: Column) -> Column:
-    """State after functions of which the last constant one was `fixed` (value, swaps before it), from `start`."""
-    since = F.col(swaps) - F.coalesce(F.col(f"{fixed}.swaps"), F.lit(0))
-    return F.coalesce(F.col(f"{fixed}.value"), start) != (since % 2 == 1)
+def _composed(rows: DataFrame, window: WindowSpec, closed_to: str, open_to: str) -> DataFrame:
+    """Add what the rows before each row do together: `_set`, the state they lead to wherever they start (NULL if
+    that depends on it), and `_odd`, whether they swap on top of it; see `_state`."""
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    swap, constant = F.col(closed_to) & ~F.col(open_to), F.col(closed_to) == F.col(open_to)
+    rows = rows.withColumn("_odd", F.coalesce(F.sum(swap.cast("int")).over(before), F.lit(0)) % 2 == 1)
+    return rows.withColumn("_set", F.last(F.when(constant, F.col(closed_to) != F.col("_odd")), ignorenulls=True).over(before))
 
 
-def with_state(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Lines with `_open` (the state they start in), and (_file, _open) at the end of each file."""
-    constant, swap = F.col("_closed_to") == F.col("_open_to"), F.col("_closed_to") & ~F.col("_open_to")
-    inside = Window.partitionBy("_file", "_block").orderBy("_row")
-    before = inside.rowsBetween(Window.unboundedPreceding, -1)
-    swaps = F.coalesce(F.sum(swap.cast("int")).over(before), F.lit(0))
-    told = lines.withColumn("_swaps", swaps)
-    told = told.withColumn("_own", F.when(constant, F.struct(F.col("_closed_to").alias("value"), F.col("_swaps").alias("swaps"))))
-    told = told.withColumn("_fixed", F.last("_own", ignorenulls=True).over(before))
-    # what a whole split does, from its constant lines and swaps alone; one row a split
-    splits = lines.groupBy("_file", "_block").agg(
-        F.sum(swap.cast("int")).alias("all"), F.max(F.when(constant, F.col("_row"))).alias("at")
+def _state(start: bool) -> Column:
+    """The state a row starts in if its first row starts in `start`."""
+    return F.coalesce("_set", F.lit(start)) != F.col("_odd")
+
+
+def _stated(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines under both states their split may start in, and the splits with the state they do start in.
+
+    One sort within each split, stored: for each state (0 outside quotes, 1 inside) what a line starts in and how many
+    records the split has begun up to it. A split is named by its smallest row id, which spares the sort the file's
+    path. Of splits there is a row each: `_start`, `_end`, `_base` (records that begin in front of it in the file) and
+    `_whole` (a number of the file).
+    """
+    # a row a split: the planner broadcasts it if it is small
+    parts = settle(lines.groupBy("_file", "_name", "_block").agg(F.min("_row").alias("_split")), "parts")
+    own = lines.join(parts.drop("_name"), ["_file", "_block"]).select(
+        "_split", "_row", "line", "_closed_to", "_open_to", F.col("line").rlike(r"[^\t\r ]").alias("_filled")
     )
-    last = lines.where(constant).select("_file", "_block", F.col("_row").alias("at"), F.col("_closed_to").alias("value"))
-    later = (
-        lines.where(swap).select("_file", "_block", "_row")
-        .join(splits.select("_file", "_block", "at"), ["_file", "_block"])
-        .groupBy("_file", "_block").agg(F.sum((F.col("_row") > F.coalesce("at", F.lit(-1))).cast("int")).alias("after"))
+    inside = Window.partitionBy("_split").orderBy("_row")
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = _composed(own, inside, "_closed_to", "_open_to").withColumns({"_open0": _state(False), "_open1": _state(True)})
+    # blank lines between records are none; inside a quoted cell they belong to it
+    told = told.withColumns({f"_begun{s}": F.count_if(~F.col(f"_open{s}") & F.col("_filled")).over(upto) for s in (0, 1)})
+    states = settle(told.drop("_odd", "_set"), "states")
+
+    def after(s: int) -> Column:
+        return F.max_by(F.when(F.col(f"_open{s}"), F.col("_open_to")).otherwise(F.col("_closed_to")), F.col("_row"))
+
+    whole = states.groupBy("_split").agg(*[c for s in (0, 1) for c in (after(s).alias(f"_to{s}"), F.max(f"_begun{s}").alias(f"_all{s}"))])
+    file = Window.partitionBy("_file")
+    whole = _composed(whole.join(parts, "_split"), file.orderBy("_block"), "_to0", "_to1").withColumn("_start", _state(False))
+    earlier = file.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.when(F.col("_start"), F.col("_all1")).otherwise(F.col("_all0"))
+    splits = whole.select(
+        "_split", "_file", "_name", "_block", "_start", F.when(F.col("_start"), F.col("_to1")).otherwise(F.col("_to0")).alias("_end"),
+        F.coalesce(F.sum(size).over(earlier), F.lit(0)).alias("_base"), F.min("_split").over(file).alias("_whole"),
     )
-    whole = splits.join(last, ["_file", "_block", "at"], "left").join(later, ["_file", "_block"], "left").fillna(0, ["after"])
-    file = Window.partitionBy("_file").orderBy("_block")
-    earlier = file.rowsBetween(Window.unboundedPreceding, -1)
-    # in a split with a constant line only the swaps behind it count
-    odd = F.col("after") % 2 == 1
-    whole = whole.withColumn("_turns", F.when(F.col("value").isNull(), F.col("after")).otherwise(F.lit(0)))
-    whole = whole.withColumn("_swaps", F.coalesce(F.sum("_turns").over(earlier), F.lit(0)))
-    whole = whole.withColumn("_own", F.when(F.col("value").isNotNull(), F.struct((F.col("value") != odd).alias("value"), F.col("_swaps").alias("swaps"))))
-    whole = whole.withColumn("_fixed", F.last("_own", ignorenulls=True).over(earlier))
-    whole = whole.withColumn("_start", _composed("_fixed", "_swaps", F.lit(False)))
-    end = F.coalesce(F.col("value"), F.col("_start")) != odd
-    starts = settle(whole.select("_file", "_block", "_start", end.alias("_end")), "states")
-    ends = starts.groupBy("_file").agg(F.max_by("_end", "_block").alias("_open"))
-    # a row a split: the planner broadcasts it if it is small
-    placed = told.join(starts.select("_file", "_block", "_start"), ["_file", "_block"])
-    return placed.withColumn("_open", _composed("_fixed", "_swaps", F.col("_start"))).drop("_swaps", "_own", "_fixed", "_start"), ends
+    return states, settle(splits, "splits")
+
+
+def _placed(states: DataFrame, splits: DataFrame) -> DataFrame:
+    """Lines with `_open` (the state they start in) and `_record` (the record they belong to, in the file from 0)."""
+    start = splits.select("_split", "_block", "_start", "_base", "_whole")
+    under = {c: F.when(F.col("_start"), F.col(f"{c}1")).otherwise(F.col(f"{c}0")) for c in ("_open", "_begun")}
+    return states.join(start, "_split").select(
+        "_whole", "_block", "_row", "line", "_closed_to", "_filled", under["_open"].alias("_open"),
+        (F.col("_base") + under["_begun"] - 1).alias("_record"),
+    )
+
 
+def _ends(splits: DataFrame) -> DataFrame:
+    return splits.groupBy("_file").agg(F.max_by("_end", "_block").alias("_open"))
 
-def _records(lines: DataFrame) -> DataFrame:
+
+def with_state(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Lines with `_open` (the state they start in), and (_file, _open) at the end of each file."""
+    states, splits = _stated(lines)
+    return _placed(states, splits), _ends(splits)
+
+
+def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     """(_file, _name, _block, _row, text): a row per record, `_row` its number within the file from 0."""
-    begins = ~F.col("_open") & (F.trim(F.regexp_replace("line", r"[\t\r]", "")) != "")
-    # blank lines between records are none; inside a quoted cell they belong to it
-    told = lines.where(F.col("_open") | begins).withColumn("_first", (~F.col("_open")).cast("long"))
-    sizes = told.groupBy("_file", "_block").agg(F.sum("_first").alias("_size"))
-    file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    bases = settle(sizes.select("_file", "_block", F.coalesce(F.sum("_size").over(file), F.lit(0)).alias("_base")), "bases")
-    upto = Window.partitionBy("_file", "_block").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = told.withColumn("_nth", F.sum("_first").over(upto)).join(bases, ["_file", "_block"])
-    numbered = numbered.withColumn("_record", F.col("_base") + F.col("_nth") - 1)
     alone = ~F.col("_open") & ~F.col("_closed_to")
-    single = numbered.where(alone).select("_file", "_name", "_block", F.col("_record").alias("_row"), F.col("line").alias("text"))
-    joined = numbered.where(~alone).groupBy("_file", "_name", "_record").agg(
+    single = lines.where(alone & F.col("_filled")).select("_whole", "_block", F.col("_record").alias("_row"), F.col("line").alias("text"))
+    joined = lines.where(~alone).groupBy("_whole", "_record").agg(
         F.min("_block").alias("_block"), F.sort_array(F.collect_list(F.struct("_block", "_row", "line"))).alias("lines")
     )
-    several = joined.select("_file", "_name", "_block", F.col("_record").alias("_row"), F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("text"))
-    return single.union(several).withColumn("text", F.regexp_replace("text", r"\r$", ""))
+    several = joined.select("_whole", "_block", F.col("_record").alias("_row"), F.array_join(F.transform("lines", lambda x: x["line"]), "\n").alias("text"))
+    found = single.union(several).join(splits.select("_whole", "_block", "_file", "_name"), ["_whole", "_block"])
+    return found.select("_file", "_name", "_block", "_row", _without_return(F.col("text")).alias("text"))
 
 
 def cells_of(text: Column, separator: str) -> Column:
@@ -141,7 +166,8 @@ def cells_of(text: Column, separator: str) -> Column:
         tail = F.regexp_replace(cell, rf'(?s)^"{BODY}"', "")
         return F.when(cell.startswith('"'), F.concat(F.replace(body, F.lit('""'), F.lit('"')), tail)).otherwise(cell)
 
-    return F.transform(found, bare)
+    plain = F.split(text, F.lit(edge), -1)
+    return F.when(F.contains(text, F.lit('"')), F.transform(found, bare)).otherwise(plain)
 
 
 def header_cells(text: str, separator: str) -> list[str]:
@@ -153,10 +179,10 @@ def scan_quoted(spark: SparkSession, paths: Sequence[str], encoding: str, separa
 
     A file that ends inside a quoted cell is an error.
     """
-    lines, ends = with_state(read_lines(spark, paths, encoding, separator))
-    broken = [r._file for r in ends.where("_open").select("_file").collect()]
+    states, splits = _stated(read_lines(spark, paths, encoding, separator))
+    broken = [r._file for r in _ends(splits).where("_open").select("_file").collect()]
     if broken:
         raise ValueError(f"a quoted cell is not closed before the end of {', '.join(sorted(broken))}")
-    records = settle(_records(lines), "quoted")
+    records = settle(_records(_placed(states, splits), splits), "quoted")
     headers = [header_cells(r.text, separator) for r in records.where("_row = 0").select("text").collect()]
     return records.where("_row > 0").select("_file", "_name", "_block", "_row", cells_of(F.col("text"), separator).alias("cells")), headers

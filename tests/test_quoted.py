@@ -111,3 +111,24 @@ def test_only_records_of_several_lines_are_grouped(spark, tmp_path):
     assert [r._open for r in lines.orderBy("_row").collect()] == [False, False, True, False, False]
     assert [r._open for r in ends.collect()] == [False]
     assert lines.where(~F.col("_open") & ~F.col("_closed_to")).count() == 3
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_sorted_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text('a;b\n1;"x\ny"\n2;z\n3;"q"\n')
+    plans, settle = {}, quoted.settle
+    monkeypatch.setattr(quoted, "settle", lambda df, label: plans.setdefault(label, _plan(df)) and settle(df, label))
+    rows, _ = quoted.scan_quoted(spark, [f"{tmp_path}/a.csv"], "UTF-8", ";")
+    assert [r.cells for r in rows.orderBy("_row").collect()] == [["1", "x\ny"], ["2", "z"], ["3", "q"]]
+    assert "Window" in plans["states"] and "Window" not in plans["quoted"] and "Window" not in plans["lines"]
+
+
+def test_each_line_meets_one_pattern_for_each_state(spark):
+    """No text is rewritten to learn its quote state, and none without a quote meets a pattern for it."""
+    line = F.col("line")
+    for told in (quoted._leaves_open(line, ";"), quoted._stays_open(line, ";"), delimited._opens_quote(line, ";")):
+        plan = _plan(spark.createDataFrame([('a;"b',)], "line string").select(told.alias("told")))
+        assert "regexp_replace" not in plan and plan.count("RLIKE") == 1
