@@ -68,7 +68,7 @@ def number_records(*scans: DataFrame) -> tuple[DataFrame, int]:
         )
         tagged = located if tagged is None else tagged.unionByName(located)
     stored, total = settle_counted(tagged, "records")
-    splits = stored.groupBy("_file", "_block").agg(
+    splits = stored.groupBy("_file", "_name", "_block").agg(
         F.count(F.lit(1)).alias("_size"), F.min("_row").alias("_first")
     )
     # Two levels: files are summed first, so the one running sum without a partition sees a row per file.
@@ -79,13 +79,14 @@ def number_records(*scans: DataFrame) -> tuple[DataFrame, int]:
     starts = starts.join(file_starts, "_file").withColumn("start", F.col("_before") + F.col("file_start"))
     # One row per split; settled, so the planner broadcasts it only if it is small enough. A split is
     # at most maxPartitionBytes of text, so the shuffle join beyond that has even keys.
-    starts = settle(starts.select("_file", "_block", "_first", "start", "file_start"), "splits")
+    # The file's name is decoded here too: Spark gives it as part of a URL, where a plus sign stands for itself.
+    name = F.url_decode(F.replace("_name", F.lit("+"), F.lit("%2B"))).alias("source_file")
+    starts = settle(starts.select("_file", "_block", "_first", "start", "file_start", name), "splits")
     numbered = stored.join(starts, ["_file", "_block"])
     offset = F.col("_row") - F.col("_first")
     result = numbered.select(
         *columns,
-        # Spark gives the name as part of a URL, where a plus sign stands for itself.
-        F.url_decode(F.replace("_name", F.lit("+"), F.lit("%2B"))).alias("source_file"),
+        "source_file",
         (F.col("file_start") + offset).alias("file_row"),
         (F.col("start") + offset).alias("record"),
     )

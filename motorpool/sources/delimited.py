@@ -5,6 +5,7 @@ from __future__ import annotations
 import fnmatch
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -20,6 +21,7 @@ from motorpool.sources.quoted import scan_quoted
 
 SEPARATOR = ";"
 OVERFLOW = "_overflow"
+HEADERS_AT_ONCE = 8
 
 # Headers an input file must have.
 REQUIRED_HEADERS = ("UF", "Marca Modelo", "Ano Fabricação Veículo CRV", "Qtd. Veículos")
@@ -67,13 +69,13 @@ def _bare(path: str) -> str:
     return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
 
 
-def _opens_quote(text: str, separator: str) -> Column:
+def _opens_quote(text: Column, separator: str) -> Column:
     """True if a quote at the start of a cell is not closed within `text`; quotes inside cells don't count."""
-    edge = re.escape(separator)
-    closed = rf'(?s)(^|{edge}|[\r\n])"(?:[^"]++|"")*+"(?={edge}|[\r\n]|$)'
-    # A closed cell keeps the separator in front of it, so that the next cell still starts after one.
-    rest = F.regexp_replace(text, closed, "$1")
-    return rest.rlike(rf'(^|{edge}|[\r\n])"')
+    edge = rf"[{re.escape(separator)}\r\n]"
+    body = r'(?:[^"]++|"")*+"'
+    # whole cells, quoted ones closed right in front of their edge; then one that opens and is not
+    whole = rf'(?:(?:"{body}|(?!")[^{edge[1:]}*+){edge})*+'
+    return text.rlike(rf'(?s)^{whole}"(?!{body}(?:{edge}|$))')
 
 
 def inspect(spark: SparkSession, paths: Sequence[str], separator: str = SEPARATOR) -> dict[Reading, list[str]]:
@@ -85,7 +87,8 @@ def inspect(spark: SparkSession, paths: Sequence[str], separator: str = SEPARATO
     lines = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("file"),
         (~F.is_valid_utf8("value")).alias("broken"),
-        _opens_quote("value", separator).alias("open"),
+        # most lines hold no quote and need no pattern
+        (F.contains("value", F.lit('"')) & _opens_quote(F.col("value"), separator)).alias("open"),
     )
     marks = lines.where("broken OR open").groupBy("file").agg(F.bool_or("broken"), F.bool_or("open")).collect()
     found = {unquote(_bare(m[0])): Reading("ISO-8859-1" if m[1] else "UTF-8", m[2]) for m in marks}
@@ -101,6 +104,16 @@ def _options(reading: Reading, separator: str) -> dict[str, str]:
     }
 
 
+def _headers(spark: SparkSession, groups: dict[Reading, list[str]], separator: str) -> set[tuple[str, ...]]:
+    """The headers of the files, as the reader names them: a small job a file, several at a time."""
+
+    def header(how: Reading, path: str) -> tuple[str, ...]:
+        return tuple(spark.read.options(**_options(how, separator)).csv(path).columns)
+
+    with ThreadPoolExecutor(HEADERS_AT_ONCE) as pool:
+        return set(pool.map(lambda one: header(*one), [(how, p) for how, ps in groups.items() for p in ps]))
+
+
 def read_delimited(
     spark: SparkSession,
     paths: Sequence[str],
@@ -122,7 +135,7 @@ def read_delimited(
             raise ValueError(f"expected {' or '.join(suffixes)}, got {path}")
     groups = {reading: paths} if reading else inspect(spark, paths, separator)
     plain = {how: ps for how, ps in groups.items() if not how.multi_line}
-    headers = {tuple(spark.read.options(**_options(how, separator)).csv(p).columns) for how, ps in plain.items() for p in ps}
+    headers = _headers(spark, plain, separator)
     quoted = {how: scan_quoted(spark, ps, how.encoding, separator) for how, ps in groups.items() if how.multi_line}
     headers |= {_safe(header) for _, found in quoted.values() for header in found}
     if len(headers) != 1:

@@ -1,5 +1,7 @@
 """Delimited period files and their edge cases."""
 
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -172,3 +174,21 @@ def test_small_files(spark, tmp_path):
     files.replace_json(spark, path, {"v": 2})
     assert files.read_json(spark, path) == {"v": 2}
     assert [e.name for e in files.listing(spark, f"{tmp_path}/deep") if not e.name.startswith(".")] == ["pointer.json"]
+
+
+def test_file_names_are_decoded_once_a_split(spark, tmp_path):
+    for name in ("a+b c.csv", "d%20e.csv"):
+        (tmp_path / name).write_text("UF;Marca Modelo;Ano Fabricação Veículo CRV;Qtd. Veículos\nSP;VW/GOL;2010;1\nRJ;VW/GOL;2010;1\n")
+    rows, total = delimited.load_period(spark, str(tmp_path), multi_file=True)
+    assert "URLDecode" not in rows._jdf.queryExecution().executedPlan().toString() and total == 4
+    assert [r.source_file for r in rows.orderBy("record").collect()] == ["a+b c.csv"] * 2 + ["d%20e.csv"] * 2
+
+
+def test_headers_are_read_side_by_side(spark, tmp_path, monkeypatch):
+    """Each header waits for another one: reading them in turn would never end."""
+    for i in range(3):
+        (tmp_path / f"{i}.csv").write_text("A;B\n1;2\n" if i else "A;C\n1;2\n")
+    meet, options = threading.Barrier(3, timeout=60), delimited._options
+    monkeypatch.setattr(delimited, "_options", lambda *a: meet.wait() is not None and options(*a))
+    found = delimited._headers(spark, {delimited.Reading(): [f"{tmp_path}/{i}.csv" for i in range(3)]}, ";")
+    assert found == {("A", "B"), ("A", "C")}
