@@ -548,7 +548,7 @@ def dq_profile(spark, sf):
 @query
 def dq_reconcile(spark, sf):
     house = scenario(spark, sf).warehouse
-    staged = with_vehicle_hash(house.read(NORM).select("marca", "modelo", "ano_fabricacao"))
+    staged = with_vehicle_hash(house.read(NORM).select("marca", "modelo", "ano_fabricacao").distinct())
     return quality.reconcile(staged, house.read(DIM))
 
 

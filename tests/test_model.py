@@ -3,6 +3,7 @@
 import json
 import random
 from collections import defaultdict
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from motorpool.operators.upsert import assert_unique, change_payload, changes, u
 from motorpool.operators.vehicles import (
     attach_ids, distinct_hashes, fleet_cells, fleet_fact, lookup_ids, vehicle_dim, with_vehicle_hash,
 )
+from motorpool.plans import registry
+from motorpool.schemas import NORM
 
 
 @pytest.fixture(scope="module")
@@ -221,3 +224,14 @@ def test_catalogue_rules(spark):
     assert [(r.range_ordered, r.start_plausible, r.fields_present) for r in checked] == [
         (True, True, True), (True, True, True), (False, True, True), (True, False, True), (True, False, False),
     ]
+
+
+def test_reconciliation_hashes_each_vehicle_once(spark, monkeypatch):
+    norm = spark.createDataFrame([("VW", "GOL", 2010)] * 50 + [("VW", None, None)] * 20, "marca string, modelo string, ano_fabricacao int")
+    house = SimpleNamespace(read=lambda contract: norm if contract.name == NORM.name else with_vehicle_hash(norm.limit(1)))
+    monkeypatch.setattr(registry, "scenario", lambda *_: SimpleNamespace(warehouse=house))
+    given, reconcile = [], quality.reconcile
+    monkeypatch.setattr(quality, "reconcile", lambda staged, stored: given.append(staged) or reconcile(staged, stored))
+    found = {r.check_name: r.n for r in registry.dq_reconcile(spark, "").collect()}
+    assert given[0].count() == 2
+    assert found == {"staged": 2, "stored": 1, "in_both": 1, "only_staged": 1, "only_stored": 0}
